@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, secretscan, simhash
+from millrace.llm import bpe, chat, secretscan, simhash
 from millrace.llm.common import read_table
 
 
@@ -13,6 +13,16 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def _tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.token_digests(read_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"))
+
+
 def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     trap = "\\### Assistant: </turn> ok"
     extra = spark.sql("SELECT -7L AS conv_id, stack(2, 0L, 'user', 1L, 'assistant') AS (turn, role)").withColumn("text", F.lit(trap))
@@ -26,6 +36,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op3_bpe": op3_bpe,
     "op4_chat": op4_chat,
     "op10_secrets": op10_secrets,
 }
