@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, chat, secretscan, simhash
+from millrace.llm import bpe, chat, langid, quality, secretscan, simhash
 from millrace.llm.common import read_table
 
 
@@ -30,6 +30,19 @@ def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_conversations(rows.unionByName(extra)))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = quality.fit(docs, read_table(spark, sf_dir, "labels"))
+    scored = quality.score(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
+
+
+def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    found = langid.identify(docs, langid.fit(docs))
+    return found.select(F.col("id").alias("doc_id"), quality.held_out(F.col("id")).alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secretscan.digest(secretscan.find_secrets(read_table(spark, sf_dir, "documents")))
 
@@ -38,6 +51,8 @@ QUERIES = {
     "op1_simhash": op1_simhash,
     "op3_bpe": op3_bpe,
     "op4_chat": op4_chat,
+    "op5_quality": op5_quality,
+    "op7_langid": op7_langid,
     "op10_secrets": op10_secrets,
 }
 
