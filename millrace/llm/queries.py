@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, chat, langid, quality, secretscan, simhash
+from millrace.llm import bpe, chat, decontam, langid, quality, secretscan, simhash
 from millrace.llm.common import read_table
 
 
@@ -13,14 +13,14 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
-def _tokenizer(name: str) -> str:
+def tokenizer_path(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
 
 
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.token_digests(read_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"))
+    return bpe.token_digests(read_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
 def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,6 +37,10 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
 
 
+def op6_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     found = langid.identify(docs, langid.fit(docs))
@@ -52,6 +56,7 @@ QUERIES = {
     "op3_bpe": op3_bpe,
     "op4_chat": op4_chat,
     "op5_quality": op5_quality,
+    "op6_decontam": op6_decontam,
     "op7_langid": op7_langid,
     "op10_secrets": op10_secrets,
 }
