@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, chat, decontam, langid, quality, secretscan, simhash
-from millrace.llm.common import read_table
+from millrace.llm import bpe, chat, decontam, langid, quality, secretscan, simhash, tokenfile
+from millrace.llm.common import Stage, read_table
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,6 +47,12 @@ def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), quality.held_out(F.col("id")).alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
+def op9_tokenfile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stage = Stage(spark, "tokens")
+    manifest = tokenfile.write_shards(read_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), f"{stage.root}/shards", stage)
+    return tokenfile.read_shards(manifest)
+
+
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secretscan.digest(secretscan.find_secrets(read_table(spark, sf_dir, "documents")))
 
@@ -58,6 +64,7 @@ QUERIES = {
     "op5_quality": op5_quality,
     "op6_decontam": op6_decontam,
     "op7_langid": op7_langid,
+    "op9_tokenfile": op9_tokenfile,
     "op10_secrets": op10_secrets,
 }
 
