@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, chat, decontam, langid, quality, secretscan, simhash, tokenfile
+from millrace.llm import bpe, chat, decontam, langid, quality, secretscan, simhash, suffix, tokenfile
 from millrace.llm.common import Stage, read_table
 
 
@@ -13,6 +13,10 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op2_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.digest(suffix.remove_repeats(read_table(spark, sf_dir, "documents")))
+
+
 def tokenizer_path(name: str) -> str:
     import public_tokenizers
 
@@ -59,6 +63,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_suffix": op2_suffix,
     "op3_bpe": op3_bpe,
     "op4_chat": op4_chat,
     "op5_quality": op5_quality,
