@@ -30,6 +30,8 @@ RUN = (0, 1, 2)
 LEAST, SIMILARITY = 13, 0.8
 #: Benchmark text broadcast together, in bytes; more items are scanned in further blocks.
 BLOCK = 4 << 20
+#: Text searched together, in bytes; a longer text is searched alone, whole.
+TOGETHER = 1 << 20
 
 _WORD = np.zeros(256, bool)
 _WORD[[*b"abcdefghijklmnopqrstuvwxyz0123456789"]] = True
@@ -175,8 +177,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
 
         def run(batches, index=index):
             for big in batches:
-                for rows in _blocks(big.set_column(1, "t", lowered(big.column(1))), 1):
-                    found = index.search(*column_bytes(rows.column(1)), least, similarity)
+                for rows in _blocks(big.set_column(1, "t", big.column(1).cast(pa.binary())), 1, TOGETHER):
+                    found = index.search(*column_bytes(lowered(rows.column(1))), least, similarity)
                     yield pa.RecordBatch.from_arrays(
                         [rows.column(0).take(pa.array([x[0] for x in found], pa.int64())), pa.array([index.ids[x[1]] for x in found], pa.int64()), pa.array([x[2] for x in found], pa.int32()), pa.array([x[3] for x in found], pa.int32())],
                         names=["doc_id", "item_id", "overlap_words", "matched_words"],
@@ -194,7 +196,7 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", le
 
         def run(batches, index=index):
             for big in batches:
-                for rows in _blocks(big.set_column(at, text_col, big.column(at).cast(pa.binary())), at):
+                for rows in _blocks(big.set_column(at, text_col, big.column(at).cast(pa.binary())), at, TOGETHER):
                     found = index.search(*column_bytes(lowered(rows.column(at))), least, similarity)
                     keep = np.ones(len(rows), bool)
                     keep[[x[0] for x in found]] = False

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, chat, decontam, langid, quality, secretscan, simhash, suffix, tokenfile
+from millrace.llm import ann, bpe, chat, decontam, langid, quality, secretscan, simhash, suffix, tokenfile
 from millrace.llm.common import Stage, read_table
 
 
@@ -51,6 +51,10 @@ def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), quality.held_out(F.col("id")).alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
+def op8_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
 def op9_tokenfile(spark: SparkSession, sf_dir: str) -> DataFrame:
     stage = Stage(spark, "tokens")
     manifest = tokenfile.write_shards(read_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), f"{stage.root}/shards", stage)
@@ -69,6 +73,7 @@ QUERIES = {
     "op5_quality": op5_quality,
     "op6_decontam": op6_decontam,
     "op7_langid": op7_langid,
+    "op8_hnsw": op8_hnsw,
     "op9_tokenfile": op9_tokenfile,
     "op10_secrets": op10_secrets,
 }

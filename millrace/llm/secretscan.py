@@ -211,7 +211,7 @@ def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[raw[0] : raw[-1]], raw - raw[0]
 
 
-def _blocks(rows: pa.RecordBatch, column: int, nbytes: int = 8 << 20):
+def _blocks(rows: pa.RecordBatch, column: int, nbytes: int = 2 << 20):
     """Slices of a batch with about nbytes of text each, one text at least."""
     if not len(rows):
         return
