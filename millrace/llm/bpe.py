@@ -190,12 +190,12 @@ class ChunkCache:
         for i, text in enumerate(texts):
             chunks = self.chunks(text)
             parts = list(map(known, chunks))
-            if None in parts:
+            try:
+                raw[i] = b"".join(parts)
+            except TypeError:  # some chunk is unknown
                 gaps = [(k, chunks[k]) for k, p in enumerate(parts) if p is None]
                 need.update(c for _, c in gaps)
                 waiting.append((i, parts, gaps))
-            else:
-                raw[i] = b"".join(parts)
         found = self.fetch(need) if need else {}
         for i, parts, gaps in waiting:
             for k, c in gaps:

@@ -20,14 +20,15 @@ at most an unnamed file.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import uuid
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,15 +42,20 @@ _FOOTER = struct.Struct("<QQQQQB7x8s")  # payload bytes, level words at, words,
 SLOT = np.dtype([("print", "<u4"), ("first", "<u8"), ("last", "<u8"), ("key", "<i8")])
 LEVELS = 64
 _W = "".join(map(chr, [9, 10, 11, 12, 13, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
-_PIECE = regex.compile(rf" ?[^{_W}]+|[{_W}]+(?![^{_W}])|[{_W}]+")
+_PIECE = re.compile(rf" ?[^{_W}]+|[{_W}]+(?![^{_W}])|[{_W}]+")
+_OTHER_SPACE = re.compile(f"[{_W.replace(' ', '').replace(chr(10), '')}]")
+_HEAD, _LINE, _RAW = "\0", "\1", "\2"
 
 
 class ByteEncoder(ChunkCache):
     """The tokenizers library behind a cache of chunks.
 
-    A chunk is a run without white space and the space before it, or white
-    space; byte-level pre-tokens never cross chunks. Texts that hold a special
-    token's string go to the library whole.
+    A chunk is a run without white space and the one space or line end before
+    it; byte-level pre-tokens never cross chunks. Texts with other white space
+    are cut by a pattern instead, and texts that hold a special token's string
+    go to the library whole. A cached chunk stands for itself after a space; a
+    first character marks chunks after a line end, at the head of a text, or as
+    they are.
     """
 
     def __init__(self, path: str):
@@ -61,13 +67,39 @@ class ByteEncoder(ChunkCache):
         self.library.no_truncation()
         self.library.no_padding()
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.line = self.library.token_to_id("\u010a")  # the byte-level sign of a line end
+        self.line_bytes = np.uint32(self.line).tobytes()
         self.width = 2 if self.library.get_vocab_size() <= 1 << 16 else 4
 
     def chunks(self, text: str) -> list[str]:
-        return [text] if any(s in text for s in self.special) else _PIECE.findall(text)
+        if any(s in text for s in self.special):
+            return [_RAW + text]
+        if any(s in text for s in ("  ", "\n\n", " \n", "\n ", _HEAD, _LINE, _RAW)) or _OTHER_SPACE.search(text) or text[-1:] == "\n":
+            return [_RAW + x for x in _PIECE.findall(text)]
+        return (_HEAD + text.replace("\n", " " + _LINE)).split(" ")
 
     def learn(self, chunks: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(chunks, add_special_tokens=False)]
+        """Chunks go to the library together, a line each, where a line end is a token of its own."""
+        out = [b""] * len(chunks)
+        lines, alone = [], []
+        for k, c in enumerate(chunks):
+            kind = c[:1]
+            (alone if kind == _RAW or len(c) <= (kind in (_HEAD, _LINE)) else lines).append(k)
+        for i in range(0, len(lines), 8192):
+            part = lines[i : i + 8192]
+            text = "\n".join([c[1:] if c[0] in (_HEAD, _LINE) else " " + c for c in (chunks[k] for k in part)])
+            ids = np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            raw, cut = ids.tobytes(), 4 * np.flatnonzero(ids == self.line)
+            if len(cut) != len(part) - 1:
+                alone += part
+                continue
+            for k, s, e in zip(part, [0, *(cut + 4).tolist()], [*cut.tolist(), len(raw)]):
+                out[k] = self.line_bytes + raw[s:e] if chunks[k][0] == _LINE else raw[s:e]
+        lead = {_HEAD: "", _LINE: "\n", _RAW: ""}
+        texts = [lead[c[0]] + c[1:] if c and c[0] in lead else " " + c for c in (chunks[k] for k in alone)]
+        for k, e in zip(alone, self.library.encode_batch_fast(texts, add_special_tokens=False)):
+            out[k] = array("I", e.ids).tobytes()
+        return out
 
 
 _ENCODERS: dict[str, ByteEncoder] = {}
