@@ -1,27 +1,29 @@
-"""Text expressions: normal forms, shingles, token estimates, labels by rule."""
+"""Text expressions: normal forms, shingles, token estimates, redaction."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from millrace.functions import fixed
+
 
 def strip(text: Column) -> Column:
     """Without white space at either end."""
     return F.regexp_replace(text, r"^\s+|\s+$", "")
 
 
-def normalize(text: Column) -> Column:
-    """Lower-case ASCII letter and digit runs joined by single spaces."""
-    return F.array_join(words(text), " ")
+def words(text: Column) -> Column:
+    """Lower-case runs of ASCII letters and digits; accented letters part words."""
+    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit("[a-z0-9]+"), F.lit(0))
 
 
-def words(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(text), F.lit("[a-z0-9]+"), F.lit(0))
+def normalize(text: Column) -> Column:
+    return F.array_join(words(text), " ")
 
 
 def shingles(w: Column, n: int = 8) -> Column:
-    """Distinct n-grams of a word array; fewer words make one whole shingle, none make none."""
+    """Distinct n-grams of a word array; fewer words make one shingle, none make none."""
     grams = F.transform(F.sequence(F.lit(1), F.size(w) - (n - 1)), lambda i: F.array_join(F.slice(w, i, n), " "))
     return (
         F.when(F.size(w) == 0, F.array().cast("array<string>"))
@@ -35,7 +37,7 @@ def jaccard(a: Column, b: Column) -> Column:
 
 
 def containment(a: Column, b: Column) -> Column:
-    """Share of a that is in b."""
+    """Share of the set a that is in b."""
     return F.when((F.size(a) == 0) | (F.size(b) == 0), 0.0).otherwise(F.size(F.array_intersect(a, b)) / F.size(a))
 
 
@@ -48,25 +50,25 @@ def text_hash(text: Column) -> Column:
 
 
 def template(text: Column, limit: int = 1200) -> Column:
-    """A text with addresses, numbers and long hex ids replaced by marks.
+    """A text with addresses, numbers and long hex ids replaced by marks, in that order.
 
-    The order matters: numbers go before ids. Lower-casing stands in for case
-    folding, with sharp s written as ss.
+    Lower case stands in for case folding, with sharp s written as ss.
     """
     t = F.replace(F.lower(text), F.lit("ß"), F.lit("ss"))
-    t = F.regexp_replace(t, r"https?://[^\s]+", "<url>")
-    t = F.regexp_replace(t, r"(?U)\b[0-9]+(\.[0-9]+)?\b", "<n>")
-    t = F.regexp_replace(t, "[a-f0-9]{16,}", "<id>")
-    return F.substring(F.trim(F.regexp_replace(t, r"\s+", " ")), 1, limit)
+    t = F.regexp_replace(t, r"(?U)https?://\S+", "<url>")
+    t = F.regexp_replace(t, r"(?U)\b\d+(?:\.\d+)?\b", "<n>")
+    t = F.regexp_replace(t, r"[A-Fa-f0-9]{16,}", "<id>")
+    return F.substring(F.trim(F.regexp_replace(t, r"(?U)\s+", " ")), 1, limit)
 
 
 def sanitize(text: Column, limit: int = 96) -> Column:
-    clean = F.substring(F.regexp_replace(text, "[^A-Za-z0-9._-]+", "_"), 1, limit)
+    """A text as part of a file name; an empty one becomes x."""
+    clean = F.substring(F.regexp_replace(strip(F.when(text != "", text).otherwise("x")), "[^A-Za-z0-9._-]+", "_"), 1, limit)
     return F.when(clean == "", "x").otherwise(clean)
 
 
 def right_trimmed_lines(text: Column) -> Column:
-    return F.array_join(F.transform(F.split(strip(text), r"\n"), F.rtrim), "\n")
+    return F.array_join(F.transform(F.split(strip(text), r"\r\n|\r|\n"), lambda x: F.regexp_replace(x, r"\s+$", "")), "\n")
 
 
 def tokens(text: Column) -> Column:
@@ -78,126 +80,95 @@ def image_tokens(width: Column, height: Column, patch: int = 28, extra: int = 8)
     return (F.ceil(width / patch) * F.ceil(height / patch) + extra).cast("long")
 
 
-_REDACTIONS = (
-    r"hf_[A-Za-z0-9]{20,}",
-    r"gh[opsur]_[A-Za-z0-9]{20,}",
-    r"github_pat_[A-Za-z0-9_]{20,}",
-    r"sk-[A-Za-z0-9_-]{16,}",
-    r"(?i)bearer\s+[A-Za-z0-9._~+/=-]{12,}",
-    r"(?i)authorization:\s*[^\s]+",
-)
+def sequence_tokens(history: Column, *texts: Column, images: Column | None = None) -> Column:
+    """Estimate of a whole sequence: an array of history texts, further texts, image tokens."""
+    total = 4 * (3 + F.size(history)) + F.aggregate(history, F.lit(0).cast("long"), lambda a, x: a + tokens(x))
+    for t in texts:
+        total = total + tokens(t)
+    return (total if images is None else total + images).cast("long")
 
 
-def redact(text: Column, mask: str = "[REDACTED]") -> Column:
-    for pattern in _REDACTIONS:
-        text = F.regexp_replace(text, pattern, mask)
-    return text
+def redact(text: Column, mask: str = "[REDACTED]", patterns: tuple[str, ...] = fixed.SECRET_PATTERNS) -> Column:
+    out = F.coalesce(text, F.lit(""))
+    for pattern in patterns:
+        out = F.regexp_replace(out, pattern, mask)
+    return out
 
 
-def has_secret(text: Column) -> Column:
+def has_secret(text: Column, patterns: tuple[str, ...] = fixed.SECRET_PATTERNS) -> Column:
     found = F.lit(False)
-    for pattern in _REDACTIONS:
-        found = found | text.rlike(pattern)
+    for pattern in patterns:
+        found = found | F.coalesce(text, F.lit("")).rlike(pattern)
     return found
 
 
-def any_of(*alternatives: str) -> str:
-    """A case-insensitive pattern for whole words or phrases."""
-    return r"(?i)\b(?:" + "|".join(alternatives) + r")\b"
-
-
-def labels(text: Column, rules: dict[str, str]) -> Column:
-    """Sorted names of the rules whose pattern occurs in the text."""
-    return F.array_sort(F.array_compact(F.array(*[F.when(text.rlike(p), F.lit(name)) for name, p in rules.items()])))
-
-
-_UNITS = "items? files? words? cells? rows? slides?".split()
-
-DIFFICULTY = {
-    "sorting": any_of("sort", "sorted", "sorting", "arrange", "order"),
-    "ranking": any_of("rank", "ranked", "ranking", r"top\s*[0-9]+", "highest", "lowest"),
-    "exact_quantity": any_of(r"exactly\s+[0-9]+", r"all\s+[0-9]+", r"[0-9]+\s+(?:" + "|".join([*_UNITS, "students?"]) + ")"),
-    "multi_target": r"(?i)\band\b[^.]{2,40}\balso\b|,\s*(?:then|and)\s+(?:create|delete|move|open|rename|save)\b",
-    "save_export": any_of("save", "saved", "save as", "saved as", "export", "download", "print"),
-    "dialog": "(?i)confirm|dialog|modal|overwrite|popup",
-    "formatting": any_of("font", "format", "layout", "style", "theme"),
-    "settings": any_of("disable", "enable", "preferences", "settings?", "toggle"),
-    "verification": "(?i)check|confirm|ensure|make sure|verif",
-}
-
-TASK = {
-    "sorting": any_of("sort", "sorted", "sorting", "arrange", "order", "orderr"),
-    "ranking": DIFFICULTY["ranking"],
-    "exact_quantity": any_of(r"exactly\s+[0-9]+", r"[0-9]+\s+(?:" + "|".join(_UNITS) + ")"),
-    "multi_target": r"(?i)\band\b.*\balso\b|,\s*(?:then|and)\s*(?:create|delete|move|open|rename)\b",
-    "save": any_of("save", "saved", "save as"),
-    "export": any_of("convert to", "download", "export"),
-    "modal_dialog": any_of("confirm", "dialog", "modal", "overwrite"),
-    "multi_app": r"(?i)\bin\s+(?:browser|chrome|excel|explorer|firefox|powerpoint|ppt|word)\b.*\bthen\b",
-}
-
-_PROGRAMS = "(?:chrome|edge|excel|explorer|firefox|libreoffice|powerpoint|word)"
-MOTIFS = {
-    "dialog_modal": any_of("confirm", "confirmation", "dialog", "modal", "pop-?up"),
-    "save_export": any_of("download", "export", "print", "save", "save as"),
-    "file_chooser": any_of("browse(?: for)? file", "choose file", "file chooser", "open file", "save as", "select file"),
-    "overwrite_confirmation": any_of("already exists", "overwrite", "replace (?:the )?(?:existing )?file"),
-    "exact_quantity": any_of(r"exactly\s+[0-9]+", r"[0-9]+\s+(?:entry|entries|" + "|".join(_UNITS) + ")"),
-    "sort_rank": any_of("sort", "sorted", "sorting", "rank", "ranking", "highest", "lowest", r"top\s*[0-9]+"),
-    "multi_target": any_of("all of the following", "and then", "both", "multiple", "then also"),
-    "settings": any_of("configuration", "configure", "disable", "enable", "options?", "preferences?", "settings?", "toggle"),
-    "cross_app": rf"(?i)\b(?:between|from)\s+{_PROGRAMS}[^.!?]{{0,100}}\b(?:and|to)\s+{_PROGRAMS}\b",
-}
-SIGNAL_MOTIF = {
-    "dialog": "dialog_modal", "modal_dialog": "dialog_modal", "export": "save_export", "save_export": "save_export", "drag": "drag",
-    "keyboard_shortcut": "hotkeys", "finish_verification": "finish_verification", "recovery_evidenced": "verified_recovery",
-}
-
-
-def motifs(text: Column, signals: Column | None = None, action: Column | None = None) -> Column:
-    """Sorted motifs of a conversation text, its signals and its last action."""
-    found = [F.when(text.rlike(p), F.lit(m)) for m, p in MOTIFS.items()]
-    if signals is not None:
-        found += [F.when(F.array_contains(signals, s), F.lit(m)) for s, m in SIGNAL_MOTIF.items()]
-    if action is not None:
-        low = F.lower(action)
-        found += [F.when(low.contains("drag("), F.lit("drag")), F.when(low.contains("hotkey(") | low.contains("press("), F.lit("hotkeys")), F.when(low.contains("scroll("), F.lit("scroll_read"))]
-    return F.array_sort(F.array_distinct(F.array_compact(F.array(*found))))
-
-
 def action_line(content: Column) -> Column:
-    """The last ``Action:`` line, else the last line that is not blank."""
+    """The last ``Action:`` line, else the last line that is not blank, else the empty string."""
     marked = F.regexp_extract_all(content, F.lit(r"(?m)^Action:\s*(.+)$"), F.lit(1))
-    lines = F.filter(F.split(content, "\n"), lambda x: F.trim(x) != "")
-    return F.coalesce(F.try_element_at(marked, F.lit(-1)), F.trim(F.try_element_at(lines, F.lit(-1))))
+    lines = F.filter(F.split(content, r"\r\n|\r|\n"), lambda x: strip(x) != "")
+    return F.coalesce(strip(F.try_element_at(marked, F.lit(-1))), strip(F.try_element_at(lines, F.lit(-1))), F.lit(""))
+
+
+def task_line(content: Column) -> Column:
+    """What follows ``Task:`` on the first line that starts so; null without one."""
+    lines = F.filter(F.split(content, "\n"), lambda x: x.startswith("Task:"))
+    return strip(F.substring(F.try_element_at(lines, F.lit(1)), 6, 1 << 30))
+
+
+def markdown_description(text: Column) -> Column:
+    return strip(F.regexp_extract(text, fixed.MARKDOWN_DESCRIPTION, 1))
+
+
+def compose_target(action: Column, plan: Column) -> Column:
+    """A plan and an action as one target; without a plan the action alone."""
+    bare = strip(plan)
+    bare = F.when(bare.startswith("Plan:"), strip(F.substring(bare, 6, 1 << 30))).otherwise(bare)
+    return F.when(F.coalesce(plan, F.lit("")) == "", action).otherwise(F.concat(F.lit("Plan: "), bare, F.lit("\nAction: "), action))
+
+
+def prompt(task: Column, history: Column, keep: int | None = None, placeholder: str = "<image>") -> Column:
+    """A user turn: placeholder, task, and the last ``keep`` previous actions as bullets."""
+    last = history if keep is None else F.slice(history, F.greatest(F.size(history) - keep, F.lit(0)) + 1, keep)
+    bullets = F.array_join(F.transform(last, lambda x: F.concat(F.lit("- "), x)), "\n")
+    return F.concat_ws(
+        "\n", F.lit(placeholder), F.when(task != "", F.concat(F.lit("Task: "), task)),
+        F.when(F.size(last) > 0, F.concat(F.lit("Previous actions:\n"), bullets)),
+    )
 
 
-def app_of(goal: Column, rules: dict[str, str], given: Column | None = None, default: str = "desktop") -> Column:
-    found = F.lit(default)
-    for app, pattern in reversed(rules.items()):
-        found = F.when(goal.rlike(pattern), F.lit(app)).otherwise(found)
-    return found if given is None else F.coalesce(F.when(given != "", F.lower(given)), found)
+def repetitive(text: Column, least: int = 8) -> Column:
+    """True when a text of many lines has few distinct ones."""
+    lines = F.filter(F.transform(F.split(text, r"\r\n|\r|\n"), strip), lambda x: x != "")
+    return (F.size(lines) >= least) & (F.size(F.array_distinct(lines)) <= F.greatest(F.lit(2), F.floor(F.size(lines) / 4)))
 
 
-def code_language(text: Column, aliases: dict[str, str], keywords: dict[str, str], default: str = "unknown") -> Column:
-    """The first fenced block's tag, else the first keyword rule that hits."""
-    tag = F.lower(F.regexp_extract(text, r"```([A-Za-z0-9+#]+)", 1))
-    named = F.element_at(F.create_map(*[F.lit(x) for kv in aliases.items() for x in kv]), tag)
-    return F.when(tag != "", F.coalesce(named, tag)).otherwise(app_of(text, keywords, default=default))
+def code_language(instruction: Column, response: Column) -> Column:
+    """Tag of the first fenced block, else the first keyword that occurs."""
+    tag = F.lower(strip(F.regexp_extract(response, r"(?s)```\s*([A-Za-z0-9_+.-]*)\s*\n.*?```", 1)))
+    found = F.lit("unknown")
+    text = F.lower(F.concat(instruction, F.lit("\n"), F.substring(response, 1, 500)))
+    for word, language in reversed(fixed.CODE_KEYWORDS.items()):
+        found = F.when(text.contains(word), language).otherwise(found)
+    named = tag
+    for alias, language in fixed.CODE_ALIASES.items():
+        named = F.when(tag == alias, language).otherwise(named)
+    return F.when(tag != "", named).otherwise(found)
 
 
-def problem_type(text: Column) -> Column:
-    return F.when(text.rlike("(?i)debug|fix|bug|error"), "debugging").when(text.rlike("(?i)algorithm|complexity|data structure"), "algorithms").otherwise("general")
+def problem_type(instruction: Column) -> Column:
+    return F.when(instruction.rlike("(?i)" + fixed.DEBUGGING), "debugging").when(instruction.rlike("(?i)" + fixed.ALGORITHM), "algorithm").otherwise("general")
 
 
-def math_level(text: Column) -> Column:
-    """(points) of a mathematics text: counts of features, each at most 3, and its length."""
-    capped = lambda pattern, per: F.least(F.lit(3), F.floor(F.regexp_count(text, F.lit(pattern)) / per))
+def math_points(question: Column) -> Column:
+    """Counts of numbers, terms and relations, each at most 3, and two points for length."""
+    q = F.lower(question)
+    count = lambda pattern: F.regexp_count(q, F.lit(pattern))
     return (
-        capped("[0-9]+", 3) + capped("[=+*/^-]", 4) + capped("(?i)(?:if|then|each|per|total|remaining)", 3)
-        + F.when(F.length(text) > 600, 2).when(F.length(text) > 250, 1).otherwise(0)
+        F.least(F.lit(3), F.floor(count(fixed.MATH_NUMBER) / 3)) + F.least(F.lit(3), count(fixed.MATH_TERM)) + F.least(F.lit(3), count(fixed.MATH_RELATION))
+        + F.when(F.length(q) > 180, 1).otherwise(0) + F.when(F.length(q) > 320, 1).otherwise(0)
     ).cast("long")
 
 
-def math_difficulty(points: Column) -> Column:
+def math_difficulty(question: Column) -> Column:
+    points = math_points(question)
     return F.when(points <= 1, "easy").when(points <= 4, "medium").otherwise("medium_hard")

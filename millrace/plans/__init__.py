@@ -1 +1,6 @@
-"""Plans of the engine."""
+"""Query catalogue: importing the modules below fills the registry."""
+
+from millrace.plans import actions, contamination, dedup, evaluation, quality, reports, selection, streams, text, trajectory  # noqa: F401
+from millrace.plans.registry import ORACLE_SQL, QUERIES
+
+__all__ = ["ORACLE_SQL", "QUERIES"]
