@@ -71,6 +71,12 @@ def plan_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def text_bytes(df: DataFrame, column: str) -> int:
+    """About how many bytes of text a table has: Catalyst's estimate, measured where that is large or unknown."""
+    told = plan_bytes(df)
+    return told if told < 1 << 40 else df.agg(F.sum(F.octet_length(column))).first()[0] or 0
+
+
 def star_labels(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Smallest index reachable from each of n nodes over edges a-b."""
     label = np.arange(n)

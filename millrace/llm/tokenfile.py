@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.bpe import ChunkCache
-from millrace.llm.common import Stage, plan_bytes
+from millrace.llm.common import Stage, text_bytes
 from millrace.llm.secretscan import _blocks
 
 MAGIC = b"MILLTOK1"
@@ -237,7 +237,7 @@ def write_shards(docs: DataFrame, tokenizer: str, folder: str, stage: Stage, end
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("t")).where("id IS NOT NULL")
     conf = docs.sparkSession.conf
     least = int(conf.get("spark.sql.shuffle.partitions"))
-    parts = max(min(least, 64), plan_bytes(docs) // shard_bytes)
+    parts = max(min(least, 64), text_bytes(rows, "t") // shard_bytes)
 
     def run(batches):
         path = None
