@@ -122,7 +122,7 @@ class Index:
     def search(self, data: np.ndarray, bounds: np.ndarray, least: int, similarity: float):
         """(text number, item number, length, matches): the longest overlap of each pair."""
         h, doc = words(data, bounds)
-        if not len(h):
+        if not len(h) or not self.masks:
             return []
         first = np.searchsorted(doc, np.arange(len(bounds) - 1))
         last = np.searchsorted(doc, np.arange(len(bounds) - 1), "right")
