@@ -150,6 +150,6 @@ def frontier_scores(spark: SparkSession, sf: str) -> DataFrame:
     return L.frontier(rows, "line")
 
 
-@query("SELECT * FROM (VALUES ('coding', CAST(214 AS BIGINT)), ('math', 200), ('instruction', 226), ('vqa', 187), ('tool', 173)) v(category, n)")
+@query("SELECT * FROM (VALUES ('coding', CAST(213 AS BIGINT)), ('math', 200), ('instruction', 227), ('vqa', 187), ('tool', 173)) v(category, n)")
 def replay_subtargets(spark: SparkSession, sf: str) -> DataFrame:
     return fixed_rows(spark, "category string, n long", *L.replay_targets(1000).items())

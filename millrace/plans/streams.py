@@ -75,15 +75,8 @@ def batch_assembly(spark: SparkSession, sf: str) -> DataFrame:
 @query("SELECT folder, status, members, bytes FROM (" + MEMBERS + ") WHERE status = 'complete'")
 def streaming_assembly(spark: SparkSession, sf: str) -> DataFrame:
     folder = _folder(spark)
-    key = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    try:
-        members = _members(spark, sf)
-        members.repartition(3).write.parquet(folder + "/in")
-        stream = spark.readStream.schema(members.schema).option("maxFilesPerTrigger", 2).parquet(folder + "/in")
-        found = assembly.assemble_stream(stream)
-        ingest.ingest(found, folder + "/out", folder + "/checkpoint").awaitTermination()
-    finally:
-        spark.conf.set(key, before)
+    members = _members(spark, sf)
+    members.repartition(3).write.parquet(folder + "/in")
+    stream = spark.readStream.schema(members.schema).option("maxFilesPerTrigger", 2).parquet(folder + "/in")
+    ingest.ingest(assembly.assemble_stream(stream), folder + "/out", folder + "/checkpoint").awaitTermination()
     return spark.read.schema(assembly.OUTPUT).parquet(folder + "/out").select("folder", "status", "members", "bytes")

@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 #: Members: (folder, name, refs array<string>, bytes); refs is null except in the manifest.
 OUTPUT = "folder string, status string, members bigint, bytes bigint"
@@ -35,60 +35,43 @@ def assembled(df: DataFrame) -> DataFrame:
     return by.select("folder", status.alias("status"), F.size("have").cast("long").alias("members"), size.alias("bytes"))
 
 
-class Assembler(StatefulProcessor):
-    def __init__(self, limit: int, patience_ms: int):
-        self.limit, self.patience = limit, patience_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.refs = handle.getListState("refs", "name string")
-        self.members = handle.getMapState("members", "name string", "bytes bigint")
-        self.done = handle.getValueState("done", "done boolean")
-
-    def _close(self, folder: str, status: str, have: dict) -> pd.DataFrame:
-        self.done.update((True,))
-        self.refs.clear()
-        self.members.clear()
-        for timer in self.handle.listTimers():
-            self.handle.deleteTimer(timer)
-        return pd.DataFrame([(folder, status, len(have), sum(have.values()))], columns=["folder", "status", "members", "bytes"])
-
-    def _have(self) -> dict:
-        return {k[0]: int(v[0]) for k, v in self.members.iterator()} if self.members.exists() else {}
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        folder = key[0]
-        if self.done.exists():
-            for _ in rows:
-                pass
-            return
-        if self.patience and not self.members.exists() and not self.refs.exists():
-            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.patience)
-        for part in rows:
-            for name, refs, size in zip(part["name"], part["refs"], part["bytes"]):
-                if refs is None:
-                    self.members.updateValue((name,), (int(size),))
-                elif not self.refs.exists():
-                    self.refs.put([(r,) for r in dict.fromkeys(refs)])
-        have, refs = self._have(), [r[0] for r in self.refs.get()] if self.refs.exists() else []
-        if refs and all(r in have or f"{folder}/{r}" in have for r in refs):
-            yield self._close(folder, "complete", have)
-        elif sum(have.values()) > self.limit:
-            yield self._close(folder, "evicted", have)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if not self.done.exists():
-            yield self._close(key[0], "evicted", self._have())
-
-    def close(self) -> None:
-        pass
+STATE = "done boolean, refs array<string>, names array<string>, sizes array<bigint>"
 
 
 def assemble_stream(members: DataFrame, limit: int = 600 << 20, patience_ms: int = 0) -> DataFrame:
     """Rows of ``OUTPUT`` as trajectories complete or are given up.
 
-    Needs the RocksDB state store. ``patience_ms`` 0 waits without end.
+    ``patience_ms`` 0 waits without end. A closed folder keeps one flag in
+    state, by which late members are known.
     """
-    return members.select("folder", "name", "refs", "bytes").groupBy("folder").transformWithStateInPandas(
-        Assembler(limit, patience_ms), OUTPUT, "Append", "ProcessingTime" if patience_ms else "None"
-    )
+
+    def close(folder: str, status: str, have: dict, state: GroupState) -> pd.DataFrame:
+        state.update((True, [], [], []))
+        return pd.DataFrame([(folder, status, len(have), sum(have.values()))], columns=["folder", "status", "members", "bytes"])
+
+    def advance(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        done, refs, names, sizes = state.get if state.exists else (False, [], [], [])
+        have = dict(zip(names, map(int, sizes)))
+        if done:
+            return
+        if state.hasTimedOut:
+            yield close(key[0], "evicted", have, state)
+            return
+        refs = list(refs)
+        for part in parts:
+            for name, named, size in zip(part["name"], part["refs"], part["bytes"]):
+                if named is None:
+                    have[name] = int(size)
+                elif not refs:
+                    refs = list(dict.fromkeys(named))
+        if refs and all(r in have or f"{key[0]}/{r}" in have for r in refs):
+            yield close(key[0], "complete", have, state)
+        elif sum(have.values()) > limit:
+            yield close(key[0], "evicted", have, state)
+        else:
+            state.update((False, refs, list(have), list(have.values())))
+            if patience_ms:
+                state.setTimeoutDuration(patience_ms)
+
+    timeout = GroupStateTimeout.ProcessingTimeTimeout if patience_ms else GroupStateTimeout.NoTimeout
+    return members.select("folder", "name", "refs", "bytes").groupBy("folder").applyInPandasWithState(advance, OUTPUT, STATE, "append", timeout)
