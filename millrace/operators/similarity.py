@@ -126,10 +126,10 @@ def hamming_pairs(df: DataFrame, id_col: str, hash_col: str, radius: int = 6) ->
     Equal hashes are collapsed first and expanded at the end. Bands select well
     for small radii only.
     """
-    bands, width = radius + 1, -(-64 // (radius + 1))
+    bands = radius + 1
     cuts = [(i * 64 // bands, (i + 1) * 64 // bands) for i in range(bands)]
-    assert all(hi - lo <= width for lo, hi in cuts)
-    part = [F.shiftrightunsigned(F.col(hash_col), lo).bitwiseAND(F.lit((1 << (hi - lo)) - 1)) for lo, hi in cuts]
+    mask = lambda lo, hi: F.lit((1 << (hi - lo)) - 1 if hi - lo < 64 else -1)
+    part = [F.shiftrightunsigned(F.col(hash_col), lo).bitwiseAND(mask(lo, hi)) for lo, hi in cuts]
     points = df.select(F.col(hash_col)).distinct()
     filed = points.select(F.col(hash_col).alias("h"), F.posexplode(F.array(*part)).alias("band", "bits"))
     left, right = filed.alias("l"), filed.alias("r")
@@ -137,8 +137,7 @@ def hamming_pairs(df: DataFrame, id_col: str, hash_col: str, radius: int = 6) ->
     near = met.select(F.col("l.h").alias("g"), F.col("r.h").alias("h"), F.col("l.band").alias("band")).where(hamming(F.col("g"), F.col("h")) <= radius)
     first = F.lit(None).cast("int")
     for i, (lo, hi) in reversed(list(enumerate(cuts))):
-        mask = F.lit((1 << (hi - lo)) - 1)
-        agree = F.shiftrightunsigned(F.col("g").bitwiseXOR(F.col("h")), lo).bitwiseAND(mask) == 0
+        agree = F.shiftrightunsigned(F.col("g").bitwiseXOR(F.col("h")), lo).bitwiseAND(mask(lo, hi)) == 0
         first = F.when(agree, F.lit(i)).otherwise(first)
     near = near.where(F.col("band") == first).select("g", "h", hamming(F.col("g"), F.col("h")).alias("distance"))
     rows = df.select(F.col(id_col).alias("id"), F.col(hash_col).alias("h"))

@@ -69,7 +69,7 @@ def sample_checks(sources: tuple[str, ...], files: bool = False) -> dict[str, Co
         "native_target_hash_missing": acts & native & (F.length(F.coalesce(digest, F.lit(""))) != 64),
         "native_target_hash_mismatch": acts & native & (F.sha2(F.get(learned, 0)["content"], 256) != digest),
         "action_requires_visual_state": acts & visual & (F.size(images) < 1),
-        "native_history_supervised_assistant_not_last": acts & visual & ~F.coalesce(F.element_at(said, -1)["loss"], F.lit(True)),
+        "native_history_supervised_assistant_not_last": acts & visual & ~F.coalesce(F.try_element_at(said, F.lit(-1))["loss"], F.lit(True)),
         "action_requires_exactly_one_image": acts & ~visual & (F.size(images) != 1),
         "invalid_action_syntax": acts & action.isNull(),
         "missing_final_image_size": acts & (size.isNull() | (F.size(size) < 2)),
