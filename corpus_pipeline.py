@@ -25,10 +25,22 @@ def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each SimHash group."""
-    groups = simhash.near_duplicates(docs)
-    kept = Stage(spark, "kept").put(groups.where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct())
-    return docs.join(kept, docs["doc_id"] == kept["__kept"], "left_semi")
+    """Keep the document with the smallest id of each SimHash group.
+
+    Rows that repeat an id are one document, of which the smallest text stays.
+    Documents without an id are compared by their texts alone.
+    """
+    stage = Stage(spark, "kept")
+    groups = stage.put(simhash.near_duplicates(docs))
+    kept = stage.put(groups.where("doc_id = component_id").groupBy(F.col("doc_id").alias("__id")).agg(F.count("*").alias("__rows")))
+    chosen = lambda ids: docs.join(ids.select("__id").hint("shuffle_hash"), docs["doc_id"] == ids["__id"], "left_semi")
+    one_of = lambda rows, *by: rows.groupBy(*by).agg(F.min_by(F.struct(*docs.columns), "text").alias("__r")).select("__r.*")
+    out = chosen(kept.where("__rows = 1"))
+    if not kept.where("__rows > 1").isEmpty():
+        out = out.unionByName(one_of(chosen(kept.where("__rows > 1")), "doc_id"))
+    if not groups.where("doc_id IS NULL").isEmpty():
+        out = out.unionByName(one_of(docs.where("doc_id IS NULL"), "text"))
+    return out
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
