@@ -4,6 +4,10 @@ A text pair without a common shingle scores nothing, so the comparison of all
 pairs is an equi-join on shingles followed by counting. Texts of fewer than
 eight distinct words are compared by words; of those only the rarest are
 joined on, as many as any pair above the threshold must share.
+
+Shingles are exploded with nulls kept: the optimizer would otherwise test the
+array's size below the projection and compute the words once per shingle. The
+joins drop the nulls.
 """
 
 from __future__ import annotations
@@ -36,15 +40,15 @@ def references(df: DataFrame, id_col: str, text_col: str, n: int = NGRAM) -> Dat
 
 
 def shingle_matches(texts: DataFrame, refs: DataFrame, key: list[str], rows: int = BROADCAST_ROWS) -> DataFrame:
-    """(key, ref_id, jaccard, containment, fragments) of pairs that share a shingle."""
+    """(key, ref_id, jaccard, containment, n_words, fragments) of pairs that share a shingle."""
     postings = small(refs.select("ref_id", F.size("ref_shingles").alias("n_ref"), F.explode("ref_shingles").alias("shingle")), rows)
-    shared = texts.select(*key, F.size("shingles").alias("n_own"), F.explode("shingles").alias("shingle")).join(postings, "shingle")
+    shared = texts.select(*key, F.size("shingles").alias("n_own"), F.size("words").alias("n_words"), F.explode_outer("shingles").alias("shingle")).join(postings, "shingle")
     counted = shared.groupBy(*key, "ref_id").agg(
-        F.count("*").alias("n"), F.first("n_own").alias("n_own"), F.first("n_ref").alias("n_ref"), F.collect_list("shingle").alias("found")
+        F.count("*").alias("n"), F.first("n_own").alias("n_own"), F.first("n_ref").alias("n_ref"), F.first("n_words").alias("n_words"), F.collect_list("shingle").alias("found")
     )
     return counted.select(
         *key, "ref_id", (F.col("n") / (F.col("n_own") + F.col("n_ref") - F.col("n"))).alias("jaccard"),
-        (F.col("n") / F.col("n_own")).alias("containment"), F.slice(F.array_sort("found"), 1, 5).alias("fragments"),
+        (F.col("n") / F.col("n_own")).alias("containment"), "n_words", F.slice(F.array_sort("found"), 1, 5).alias("fragments"),
     )
 
 
@@ -56,7 +60,7 @@ def word_matches(texts: DataFrame, refs: DataFrame, key: list[str], threshold: f
     """
     postings = refs.select("ref_id", F.explode("ref_words").alias("word"))
     frequency = small(postings.groupBy("word").agg(F.count("*").alias("df")), rows)
-    each = texts.select(*key, "words", F.explode("words").alias("word")).join(frequency, "word", "left")
+    each = texts.select(*key, "words", F.explode_outer("words").alias("word")).join(frequency, "word", "left")
     each = each.withColumn("__rank", ranked(key, F.coalesce("df", F.lit(0)), F.col("word")))
     probes = each.where(F.col("df").isNotNull() & (F.col("__rank") <= F.size("words") - F.ceil(threshold * F.size("words")) + 1))
     pairs = probes.join(small(postings, rows), "word").groupBy(*key, "ref_id").agg(F.first("words").alias("words"))
@@ -77,10 +81,9 @@ def best_matches(texts: DataFrame, refs: DataFrame, key: list[str], threshold: f
         *key, "ref_id", F.lit("exact").alias("kind"), F.lit(2.0).alias("__by"), F.lit(1.0).alias("score"), F.array().cast("array<string>").alias("fragments")
     )
     is_short = F.size("words") < n
-    grams = shingle_matches(texts.where(F.size("shingles") > 0), refs, key)
-    short = texts.where(is_short & (F.size("words") > 0))
-    words = word_matches(short, refs, key, threshold)
-    long_pairs = grams.join(short.select(*key), key, "left_anti").select(*key, "ref_id", "jaccard", "containment", "fragments")
+    grams = shingle_matches(texts, refs, key)
+    words = word_matches(texts.select(*key, "words").where(is_short), refs, key, threshold)
+    long_pairs = grams.where(F.col("n_words") >= n).select(*key, "ref_id", "jaccard", "containment", "fragments")
     # a short text's containment is its word overlap; a pair that shares the shingle shares all its words
     short_pairs = words.join(grams.select(*key, "ref_id", "jaccard", "fragments"), [*key, "ref_id"], "left").select(
         *key, "ref_id", F.coalesce("jaccard", F.lit(0.0)).alias("jaccard"), F.col("overlap").alias("containment"), F.coalesce("fragments", F.array().cast("array<string>")).alias("fragments")
@@ -113,7 +116,7 @@ def similarity_histogram(matches: DataFrame, score: str = "score") -> DataFrame:
 def reference_containment(df: DataFrame, refs: DataFrame, id_col: str, text_col: str, threshold: float = THRESHOLD) -> DataFrame:
     """Pairs where a text holds at least ``threshold`` of a reference's shingles (an extension)."""
     postings = small(refs.select("ref_id", F.size("ref_shingles").alias("n_ref"), F.explode("ref_shingles").alias("shingle")))
-    own = prepared(df.select(id_col, text_col), text_col).select(id_col, F.explode("shingles").alias("shingle"))
+    own = prepared(df.select(id_col, text_col), text_col).select(id_col, F.explode_outer("shingles").alias("shingle"))
     counted = own.join(postings, "shingle").groupBy(id_col, "ref_id").agg(F.count("*").alias("n"), F.first("n_ref").alias("n_ref"))
     return counted.select(id_col, "ref_id", (F.col("n") / F.col("n_ref")).alias("share")).where(F.col("share") >= threshold)
 
