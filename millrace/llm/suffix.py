@@ -35,7 +35,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import Stage, plan_bytes
+from millrace.llm.common import Stage, text_bytes
 from millrace.llm.secretscan import _blocks, column_bytes
 
 LENGTH, GRAM = 100, 32
@@ -43,7 +43,8 @@ LENGTH, GRAM = 100, 32
 SHARD = 1 << 20
 #: Fragments of one key beyond which its windows are dealt by their own hash.
 HOT = 20_000
-_NULL_ID = (1 << 63) - 1
+#: Documents without an id take the ids from here on, by a hash of their text.
+_NULL_ID = (1 << 63) - (1 << 60)
 _RANDOM = np.random.default_rng(20240607)
 _BYTE = _RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _STEP = _RANDOM.integers(1, 1 << 62, 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -117,6 +118,11 @@ def _unpack(blob: bytes, count: int) -> list[np.ndarray]:
     return [np.ascontiguousarray(part.reshape(8, n).T).view(np.int64).ravel() for part in np.split(raw, count)]
 
 
+def _spread(doc: np.ndarray, buckets: int) -> np.ndarray:
+    """A bucket for each document id."""
+    return (doc.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)).astype(np.int64) % buckets
+
+
 def merge_spans(doc: np.ndarray, start: np.ndarray, end: np.ndarray):
     """The union of spans, per document, sorted."""
     if not len(doc):
@@ -132,6 +138,15 @@ def merge_spans(doc: np.ndarray, start: np.ndarray, end: np.ndarray):
     return doc[at], start[at], reach[stop] - lift[stop]
 
 
+def listed(doc: np.ndarray, **columns: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """Documents, and for each the list of its rows of the other columns."""
+    order = np.argsort(doc, kind="stable")
+    ids, count = np.unique(doc, return_counts=True)
+    bounds = np.concatenate([[0], np.cumsum(count)]).astype(np.int32)
+    rows = pa.StructArray.from_arrays([pa.array(c[order], pa.int64()) for c in columns.values()], names=list(columns))
+    return ids, pa.ListArray.from_arrays(pa.array(bounds), rows)
+
+
 def collapse(key, print_, doc, start, end):
     """Order by key, fragment and place; (columns, mask of first occurrences, mask of later ones)."""
     order = np.lexsort((start, doc, print_, key))
@@ -240,8 +255,8 @@ def suffix_order(text: np.ndarray, n: int, depth: int = 128):
 
 
 def repeated_spans(stage: Stage, docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard: int = SHARD, hot: int = HOT, flush: int = 32 << 20) -> list[DataFrame]:
-    """Staged tables (id, s, e) of covered spans of docs (id long, t binary)."""
-    buckets = max(16, plan_bytes(docs) // (8 << 20))
+    """Tables (id, spans array<(s, e)>) of covered spans of docs (id long, t binary)."""
+    buckets = max(16, text_bytes(docs, "t") // (8 << 20))
 
     def cut(batches):
         held: list = []
@@ -290,28 +305,43 @@ def repeated_spans(stage: Stage, docs: DataFrame, length: int = LENGTH, gram: in
         key, _, fdoc, fstart, fend = (c[first] for c in cols)
         _, where, count = np.unique(key, return_inverse=True, return_counts=True)
         mixed = count[where] > 1
-        kind = np.where(count[where] > hot, 2, 1)[mixed]
-        return pa.table(
-            {
-                "id": np.concatenate([doc, fdoc[mixed]]), "s": np.concatenate([start, fstart[mixed]]), "e": np.concatenate([end, fend[mixed]]),
-                "key": np.concatenate([np.zeros(len(doc), np.int64), key[mixed]]), "kind": np.concatenate([np.zeros(len(doc), np.int64), kind]).astype(np.int32),
-            }
-        )
+        kind = np.where(count[where] > hot, 2, 1)
+        rows = [(doc, start, end, np.zeros(len(doc), np.int64), 0)]
+        rows += [(fdoc[use], fstart[use], fend[use], key[use], k) for k in (1, 2) for use in [mixed & (kind == k)]]
+        out = []
+        for i, s, e, x, k in rows:
+            work = e - s if k < 2 else (e - s - length + 1) * length
+            to = _spread(i, buckets)
+            order = np.argsort(to, kind="stable")
+            edge = np.searchsorted(to[order], np.arange(buckets + 1))
+            for t in np.flatnonzero(np.diff(edge)).tolist():
+                at = order[edge[t] : edge[t + 1]]
+                out.append((t, k, int(work[at].sum()), _pack(i[at], s[at], e[at], x[at])))
+        return pa.table([pa.array([r[c] for r in out], t) for c, t in enumerate((pa.int64(), pa.int32(), pa.int64(), pa.binary()))], names=["target", "kind", "work", "blob"])
+
+    def unite(table):
+        parts = []
+        for k in (0, 1, 2):
+            found = [_unpack(b, 4) for b in table.filter(pa.array(table["kind"].to_numpy() == k))["blob"].to_pylist()]
+            i, s, e, x = (np.concatenate([f[c] for f in found]) if found else np.zeros(0, np.int64) for c in range(4))
+            ids, spans = listed(i, s=s, e=e, key=x)
+            parts.append(pa.table({"id": ids, "kind": np.full(len(ids), k, np.int32), "spans": spans}))
+        return pa.concat_tables(parts)
 
     blobs = docs.mapInArrow(cut, "bucket long, kind int, blob binary")
-    found = stage.put(blobs.groupBy("bucket").applyInArrow(meet, "id long, s long, e long, key long, kind int"))
+    met = stage.put(blobs.groupBy("bucket").applyInArrow(meet, "target long, kind int, work long, blob binary"))
     del blobs
+    shards = max(1, -(-int(met.where("kind > 0").agg(F.sum("work")).first()[0] or 0) // shard))
+    found = stage.put(met.groupBy("target").applyInArrow(unite, "id long, kind int, spans array<struct<s:bigint,e:bigint,key:bigint>>"))
     asked = found.where("kind > 0")
-    total = asked.agg(F.sum(F.when(F.col("kind") == 1, F.col("e") - F.col("s")).otherwise((F.col("e") - F.col("s") - length + 1) * length))).first()[0] or 0
-    shards = max(1, -(-int(total) // shard))
 
     def take(batches):
         for rows in batches:
             out: list = []
             held = 0
             for i, t, want in zip(*(rows.column(c).to_pylist() for c in ("id", "t", "want"))):
-                for w in want:
-                    if w["kind"] == 1:
+                for kind, w in ((x["kind"], w) for x in want for w in x["spans"]):
+                    if kind == 1:
                         out.append((w["key"] % shards, i, w["s"], t[w["s"] : w["e"]]))
                     else:
                         for s in range(w["s"], w["e"] - length + 1):
@@ -328,12 +358,14 @@ def repeated_spans(stage: Stage, docs: DataFrame, length: int = LENGTH, gram: in
 
     def expand(table):
         doc, start, end = repeated_windows(table["part"].to_pylist(), table["id"].to_numpy(), table["s"].to_numpy(), length)
-        return pa.table({"id": pa.array(doc, pa.int64()), "s": pa.array(start, pa.int64()), "e": pa.array(end, pa.int64())})
+        ids, spans = listed(doc, s=start, e=end)
+        return pa.table({"id": ids, "spans": spans})
 
-    wants = asked.groupBy("id").agg(F.collect_list(F.struct("s", "e", "key", "kind")).alias("want"))
+    wants = asked.groupBy("id").agg(F.collect_list(F.struct("kind", "spans")).alias("want"))
     parts = docs.join(wants, "id").select("id", "t", "want").mapInArrow(take, "shard long, id long, s long, part binary")
-    matched = stage.put(parts.groupBy("shard").applyInArrow(expand, "id long, s long, e long"))
-    return [found.where("kind = 0").select("id", "s", "e"), matched]
+    matched = stage.put(parts.groupBy("shard").applyInArrow(expand, "id long, spans array<struct<s:bigint,e:bigint>>"))
+    bare = F.transform("spans", lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e")))
+    return [found.where("kind = 0").select("id", bare.alias("spans")), matched]
 
 
 def _united(spans: list[dict], size: int) -> list[tuple[int, int]]:
@@ -352,16 +384,16 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     ``spans`` are the maximal removed runs in bytes, ``kept`` the remaining
     bytes. Order is by id, then by start: of equal strings the one in the
     document with the smallest id stays. A null text is empty. Null ids rank
-    after all others and among themselves count as one document, as do rows
-    that repeat an id (they should repeat the text too: spans are united over
-    them). Texts shorter than ``length`` lose nothing. Other columns are
+    after all others, in the order of a hash of their text. Rows that repeat an
+    id, or a text without an id, are one document (they should repeat the text
+    too: spans are united over them). Ids of 2^63 - 2^60 and more are taken. Texts shorter than ``length`` lose nothing. Other columns are
     ignored; an empty table gives no rows.
     """
     spark = docs.sparkSession
     stage = Stage(spark, "repeats")
-    texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL_ID)).alias("id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("t"))
+    texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL_ID) + F.pmod(F.xxhash64(text_col), F.lit(1 << 60))).alias("id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("t"))
     covered, matched = repeated_spans(stage, texts, length, shard=shard, hot=hot)
-    spans = covered.unionByName(matched).groupBy("id").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
+    spans = covered.unionByName(matched).groupBy("id").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
     def apply(batches):
         for big in batches:
@@ -380,7 +412,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
                 )
 
     return texts.join(spans, "id", "left").mapInArrow(apply, "id long, n_bytes long, spans array<struct<s:bigint,e:bigint>>, kept binary").withColumn(
-        "id", F.when(F.col("id") != _NULL_ID, F.col("id"))
+        "id", F.when(F.col("id") < _NULL_ID, F.col("id"))
     )
 
 
