@@ -17,6 +17,8 @@ import heapq
 import json
 import unicodedata
 from functools import cache
+from itertools import compress, repeat
+from operator import is_
 
 import numpy as np
 import pyarrow as pa
@@ -162,6 +164,8 @@ class WordBpe:
 class ChunkCache:
     """Ids of text chunks, remembered over two generations of bounded size."""
 
+    remember = REMEMBER
+
     def __init__(self):
         self.now: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
@@ -174,7 +178,7 @@ class ChunkCache:
         raise NotImplementedError
 
     def fetch(self, need: set[str]) -> dict[str, bytes]:
-        if len(self.now) > REMEMBER:
+        if len(self.now) > self.remember:
             self.old, self.now = self.now, {}
         found = {c: self.old[c] for c in need if c in self.old}
         missing = [c for c in need if c not in found]
@@ -193,13 +197,13 @@ class ChunkCache:
             try:
                 raw[i] = b"".join(parts)
             except TypeError:  # some chunk is unknown
-                gaps = [(k, chunks[k]) for k, p in enumerate(parts) if p is None]
-                need.update(c for _, c in gaps)
-                waiting.append((i, parts, gaps))
+                gaps = list(compress(range(len(parts)), map(is_, parts, repeat(None))))
+                need.update(map(chunks.__getitem__, gaps))
+                waiting.append((i, chunks, parts, gaps))
         found = self.fetch(need) if need else {}
-        for i, parts, gaps in waiting:
-            for k, c in gaps:
-                parts[k] = found[c]
+        for i, chunks, parts, gaps in waiting:
+            for k in gaps:
+                parts[k] = found[chunks[k]]
             raw[i] = b"".join(parts)
         return [np.frombuffer(x, np.uint32) for x in raw]
 

@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.bpe import ChunkCache
+from millrace.llm.bpe import ChunkCache, byte_symbols
 from millrace.llm.common import Stage, text_bytes
 from millrace.llm.secretscan import _blocks
 
@@ -55,9 +55,13 @@ class ByteEncoder(ChunkCache):
     are cut by a pattern instead, and texts that hold a special token's string
     go to the library whole. A cached chunk stands for itself after a space; a
     first character marks chunks after a line end, at the head of a text, or as
-    they are.
+    they are. A comma or full stop after a Latin letter is a pre-token of its
+    own, so a word is learned without it, once. Words of Latin letters are one
+    pre-token each and go to the library's model directly.
     """
 
+    remember = 800_000
+
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
@@ -69,6 +73,10 @@ class ByteEncoder(ChunkCache):
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.line = self.library.token_to_id("\u010a")  # the byte-level sign of a line end
         self.line_bytes = np.uint32(self.line).tobytes()
+        self.signs = dict(enumerate(byte_symbols()))
+        self.space = self.signs[32]
+        self.four = [np.uint32(i).tobytes() for i in range(self.library.get_vocab_size())]
+        self.tail = {c: np.array(self.library.encode(c, add_special_tokens=False).ids, "<u4").tobytes() for c in ",."}
         self.width = 2 if self.library.get_vocab_size() <= 1 << 16 else 4
 
     def chunks(self, text: str) -> list[str]:
@@ -79,6 +87,30 @@ class ByteEncoder(ChunkCache):
         return (_HEAD + text.replace("\n", " " + _LINE)).split(" ")
 
     def learn(self, chunks: list[str]) -> list[bytes]:
+        now, old, tail, marks = self.now, self.old, self.tail, (_HEAD, _LINE, _RAW)
+        words = [c[:-1] if c[-1:] in tail and c[-2:-1].isalpha() and c[-2] < "\u0250" and c[0] != _RAW else c for c in chunks]
+        other = []
+        for w in dict.fromkeys(words):
+            if w in now or w in old:
+                continue
+            body = w[1:] if w[:1] in marks else w
+            if body.isalpha() and (body.isascii() or max(body) < "\u0250") and w[0] != _RAW:
+                now[w] = self.word(w, body)
+            else:
+                other.append(w)
+        now.update(zip(other, self.ask(other)))
+        found = ((now[w] if w in now else old[w], w, c) for w, c in zip(words, chunks))
+        return [ids if w is c else ids + tail[c[-1]] for ids, w, c in found]
+
+    def word(self, chunk: str, body: str) -> bytes:
+        """Latin letters are one pre-token, so the library's model takes them as they are."""
+        text = body if body.isascii() else body.encode().decode("latin-1").translate(self.signs)
+        if body is chunk:
+            text = self.space + text
+        ids = b"".join([self.four[t.id] for t in self.library.model.tokenize(text)])
+        return self.line_bytes + ids if chunk[0] == _LINE else ids
+
+    def ask(self, chunks: list[str]) -> list[bytes]:
         """Chunks go to the library together, a line each, where a line end is a token of its own."""
         out = [b""] * len(chunks)
         lines, alone = [], []
