@@ -17,6 +17,24 @@ def test_the_mask_meets_every_pair_of_substitutions():
             assert any(not {p, p + 1, p + 2} & set(lost) for p in range(n - 2))
 
 
+@pytest.mark.parametrize("n", range(D.LEAST, 26))
+def test_the_masks_meet_every_overlap_that_counts(n):
+    """Longer overlaps hold one of 13 to 25 words that counts: not every part can be worse than the whole."""
+    seeds = [sum(1 << p + k for k in mask) for mask in D.MASKS for p in range(n - mask[-1])]
+    for lost in itertools.combinations([1 << i for i in range(n)], int(n * (1 - D.SIMILARITY) + 1e-9)):
+        assert not all(sum(lost) & s for s in seeds)
+
+
+@pytest.mark.parametrize("n, lost", [(15, (6, 7, 8)), (15, (3, 7, 11)), (20, (3, 7, 11, 15))])
+def test_overlaps_of_more_substitutions_are_found(spark, n, lost):
+    item = [f"w{i}" for i in range(n)]
+    text = ["before", *("other" if i in lost else w for i, w in enumerate(item)), "after"]
+    docs = spark.createDataFrame([(1, " ".join(text)), (2, "clean")], "doc_id long, text string")
+    items = spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
+    assert [tuple(r) for r in D.find_leaks(docs, items).collect()] == [(1, 7, n, n - len(lost))]
+    assert [r.doc_id for r in D.drop_leaks(docs, items).collect()] == [2]
+
+
 def words(text):
     return re.findall("[a-z0-9\x80-\U0010ffff]+", (text or "").lower())
 
