@@ -6,8 +6,10 @@ thinning out. Every vector is searched for in every shard of its label, from
 the top layer down, with a beam that keeps the best nodes met. A beam that
 fills with links is widened, up to the whole shard; then a recall audit
 compares a sample of the queries with brute force and widens all beams until
-it passes. Found pairs are verified in double precision, and the links are
-united into components.
+it passes. The sample grows until it holds enough links of a vector with
+another; where a search has too few, it grows to all queries, and what brute
+force found is the result. Found pairs are verified in double precision, and the
+links are united into components.
 """
 
 from __future__ import annotations
@@ -23,8 +25,8 @@ from millrace.llm.common import Stage, connected_components, star_labels
 SHARD = 8192
 LINKS = 16
 BEAM = 64
-#: Queries of a search that the audit compares with brute force, and the recall it asks for.
-AUDIT, RECALL = 256, 0.99
+#: Queries that the audit adds to its sample at once, links that the sample must hold, and the recall asked for.
+AUDIT, AUDIT_LINKS, RECALL = 256, 256, 0.99
 _BATCH = 256
 
 
@@ -193,13 +195,20 @@ class Graph:
         return [np.concatenate(x) for x in zip(*out)]
 
 
-def close_rows(graph: Graph, q: np.ndarray, least: float, audit: int = AUDIT, recall: float = RECALL, beam: int = BEAM):
-    """(query row, node) of pairs that may reach cosine ``least``, by widening beams."""
+def close_rows(graph: Graph, q: np.ndarray, least: float, own: bool = False, audit: int = AUDIT, recall: float = RECALL, beam: int = BEAM):
+    """(query row, node) of pairs that may reach cosine ``least``, by widening beams.
+
+    With ``own`` the queries are the nodes; a node's pair with itself is left out.
+    """
     n, edge = len(graph.vec), least - 1e-5
     scan = lambda rows: [(rows[i : i + 64][r], c) for i in range(0, len(rows), 64) for r, c in [np.nonzero(q[rows[i : i + 64]] @ graph.vec.T >= edge)]]
-    probe = np.linspace(0, len(q) - 1, min(audit, len(q))).astype(int)
-    truth = scan(probe)
-    truth = np.unique(np.concatenate([a * n + b for a, b in truth])) if truth else np.zeros(0, int)
+    order, probed, truth = np.random.default_rng(len(q)).permutation(len(q)), 0, np.zeros(0, int)
+    while probed < len(q) and len(truth) < AUDIT_LINKS:
+        probe = order[probed : probed + audit]
+        truth = np.concatenate([truth, *[a * n + b for a, b in ((a[a != b], b[a != b]) if own else (a, b) for a, b in scan(probe))]])
+        probed += len(probe)
+    if probed == len(q):
+        return truth // n, truth % n
     width = beam
     while True:
         pairs, todo, wide = [], np.arange(len(q)), width
@@ -214,9 +223,10 @@ def close_rows(graph: Graph, q: np.ndarray, least: float, audit: int = AUDIT, re
             pairs.append((todo[r], ids[r, c]))
             todo, wide = todo[full], 4 * wide
         a, b = (np.concatenate([p[k] for p in pairs]) for k in (0, 1)) if pairs else (np.zeros(0, int), np.zeros(0, int))
-        found = np.isin(truth, a * n + b).mean() if len(truth) else 1.0
-        if found >= recall or 4 * width >= n:
-            return a, b
+        links = (a * n + b)[a != b] if own else a * n + b
+        if np.isin(truth, links).mean() >= recall or 4 * width >= n:
+            links = np.union1d(links, truth)
+            return links // n, links % n
         width *= 2
 
 
@@ -298,7 +308,7 @@ def near_duplicates(df: DataFrame, least: float = 0.98, id_col: str = "vec_id",
         node, count, exact, graph = _thaw(blobs[0])
         own = len(blobs) == 1
         node2, count2, exact2, graph2 = (node, count, exact, graph) if own else _thaw(blobs[1])
-        b, a = close_rows(graph, graph2.vec, least)
+        b, a = close_rows(graph, graph2.vec, least, own)
         a, b = _verified(exact, exact2, a, b, least)
         if own:
             pair = np.unique(np.concatenate([a * len(node) + b, b * len(node) + a]))

@@ -65,3 +65,45 @@ def test_recall_of_the_graph_alone():
     ids, _ = graph.search(unit[:500], 16)
     nearest = np.argsort(-(unit[:500] @ unit.T), axis=1)[:, :2]
     assert np.mean([n in row for row, pair in zip(ids, nearest) for n in pair]) > 0.95
+
+
+class Blind(ann.Graph):
+    """A graph whose search meets nothing but the vector itself, as if its links were lost."""
+
+    def search(self, q, width):
+        sims = q @ self.vec.T
+        ids = np.argmax(sims, axis=1)[:, None]
+        return ids, np.take_along_axis(sims, ids, 1)
+
+
+@pytest.mark.parametrize("pairs, between", [(2, False), (10, False), (0, True), (3, True)])
+def test_the_audit_sees_few_links(pairs, between):
+    rng = np.random.default_rng(pairs)
+    x = rng.normal(size=(3000, 24))
+    x[1000 : 1000 + pairs] = x[:pairs] + rng.normal(size=(pairs, 24)) * 0.01
+    unit = ann.unit(x).astype(np.float32)
+    y = ann.unit(rng.normal(size=(2000, 24))).astype(np.float32)
+    if between:
+        y[5 : 5 + 2 * pairs] = np.repeat(unit[:pairs], 2, axis=0)  # with the copies, 2 nodes each
+    q = y if between else unit
+    near = q @ unit.T >= 0.98
+    if not between:
+        np.fill_diagonal(near, False)
+    a, b = ann.close_rows(Blind(unit, []), q, 0.98, *([] if between else [True]))
+    assert sorted(zip(a.tolist(), b.tolist())) == sorted(zip(*[v.tolist() for v in np.nonzero(near)]))
+
+
+@pytest.mark.parametrize("shard", [1500, 8192])
+@pytest.mark.parametrize("pairs", [5, 400])
+def test_a_label_of_thousands(spark, shard, pairs):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(4000, 16)).astype(np.float32)
+    x[2000 : 2000 + pairs] = x[:pairs] + rng.normal(size=(pairs, 16)).astype(np.float32) * 0.02
+    unit = ann.unit(x)
+    near = unit @ unit.T >= 0.98
+    np.fill_diagonal(near, False)
+    assert near.sum() == 2 * pairs
+    df = spark.createDataFrame([(i, v.tolist(), 0, "x", 1) for i, v in enumerate(x)], SCHEMA).repartition(4)
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in ann.near_duplicates(df, shard=shard).collect()}
+    first = np.where(near.any(axis=1), np.minimum(near.argmax(axis=1), np.arange(4000)), np.arange(4000))
+    assert got == {i: (int(near[i].sum()), int(first[i]), bool(first[i] == i)) for i in range(4000)}
