@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -127,6 +128,16 @@ def paired(base: DataFrame, other: DataFrame, task: str, *by: str) -> DataFrame:
     )
 
 
+def _draws(n: int, seed: int, size: int = 1 << 18):
+    """Blocks of the draws that random.Random(seed).randrange(n) makes one by one, for n below 2**32."""
+    state = random.Random(seed).getstate()[1]
+    source = np.random.MT19937()
+    source.state = {"bit_generator": "MT19937", "state": {"key": np.array(state[:-1], np.uint32), "pos": state[-1]}}
+    while True:
+        drawn = (source.random_raw(size) >> np.uint64(32 - n.bit_length())).astype(np.int64)
+        yield drawn[drawn < n]
+
+
 def bootstrap(base: DataFrame, other: DataFrame, task: str, resamples: int = 10_000, seed: int = 1337, alpha: float = 0.05) -> DataFrame:
     """(n, low, high): percentile interval of the delta in points, resampled with a seeded generator.
 
@@ -137,9 +148,15 @@ def bootstrap(base: DataFrame, other: DataFrame, task: str, resamples: int = 10_
 
     def run(table: pa.Table) -> pa.Table:
         rows = table.sort_by(task)
-        delta = [int(o) - int(b) for b, o in zip(rows["b"].to_pylist(), rows["o"].to_pylist())]
-        n, draw = len(delta), random.Random(seed).randrange
-        found = sorted(100.0 * sum([delta[draw(n)] for _ in range(n)]) / n for _ in range(resamples))
+        delta = np.array([int(o) - int(b) for b, o in zip(rows["b"].to_pylist(), rows["o"].to_pylist())], np.int64)
+        n, left, draws = len(delta), np.zeros(0, np.int64), _draws(len(delta), seed)
+        found = []
+        for _ in range(resamples):
+            while len(left) < n:
+                left = np.concatenate([left, next(draws)])
+            found.append(100.0 * int(delta[left[:n]].sum()) / n)
+            left = left[n:]
+        found.sort()
         low, high = max(0, int(alpha / 2 * resamples) - 1), min(resamples - 1, int((1 - alpha / 2) * resamples))
         return pa.table({"n": [n], "low": [found[low]], "high": [found[high]]})
 

@@ -75,7 +75,7 @@ def mcnemar_exact(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def bootstrap_ci(spark: SparkSession, sf: str) -> DataFrame:
-    return E.bootstrap(*_arms(spark, sf), "doc_id", resamples=500)
+    return E.bootstrap(*_arms(spark, sf), "doc_id")
 
 
 FAILED = """

@@ -243,3 +243,26 @@ def test_window_starts_and_spacing(spark):
     for r in rows:
         assert all(0 <= s <= 16 for s in r.s) and len(r.k) <= 3
         assert all(abs(a - b) >= 4 for i, a in enumerate(r.k) for b in r.k[:i])
+
+
+def test_bootstrap_draws_ten_thousand_times(spark, sf):
+    """The query's interval is that of 10,000 draws with seed 1337, made one by one."""
+    import random
+
+    from millrace.plans import QUERIES
+
+    sf = sf.replace("sf0.001", "sf0.01")  # on the smallest tables fewer draws give the same ends
+    marks = sorted((r.doc_id, (r.toxic == 0) - (r.quality == 1)) for r in spark.read.parquet(f"{sf}/labels.parquet").collect() if r.doc_id % 9)
+    delta, rng = [d for _, d in marks], random.Random(1337)
+    n = len(delta)
+    found = sorted(100.0 * sum(delta[rng.randrange(n)] for _ in range(n)) / n for _ in range(10_000))
+    assert tuple(QUERIES["bootstrap_ci"](spark, sf).first()) == (n, found[249], found[9750])
+
+
+def test_blocks_of_draws_equal_single_ones():
+    import random
+
+    for n in (1, 2, 3, 8, 1000, 70_001):
+        rng, blocks = random.Random(1337), evaluation._draws(n, 1337, 500)
+        got = [x for _ in range(8) for x in next(blocks).tolist()]
+        assert got == [rng.randrange(n) for _ in got] and got
