@@ -17,8 +17,6 @@ import heapq
 import json
 import unicodedata
 from functools import cache
-from itertools import compress, repeat
-from operator import is_
 
 import numpy as np
 import pyarrow as pa
@@ -27,16 +25,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from millrace.llm.chunks import ColumnEncoder
 from millrace.llm.secretscan import _blocks
 
 #: Unicode White_Space, as a regular-expression class body.
 _W = "".join(map(chr, [9, 10, 11, 12, 13, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 _PRETOKEN = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{_W}\p{{L}}\p{{N}}]+")
 _NONE = np.iinfo(np.int64).max
-#: Chunks remembered per Python worker and generation (two generations live).
-REMEMBER = 400_000
-#: Pre-tokens merged together, at most.
-TOGETHER = 200_000
+#: Bytes of chunks merged together, about.
+TOGETHER = 2 << 20
 
 
 def byte_symbols() -> list[str]:
@@ -161,66 +158,28 @@ class WordBpe:
         return sym[live], np.concatenate([[0], np.cumsum(np.bincount(word[live], minlength=len(words)))])
 
 
-class ChunkCache:
-    """Ids of text chunks, remembered over two generations of bounded size."""
-
-    remember = REMEMBER
-
-    def __init__(self):
-        self.now: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def chunks(self, text: str) -> list[str]:
-        raise NotImplementedError
-
-    def learn(self, chunks: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of chunks not yet known."""
-        raise NotImplementedError
-
-    def fetch(self, need: set[str]) -> dict[str, bytes]:
-        if len(self.now) > self.remember:
-            self.old, self.now = self.now, {}
-        found = {c: self.old[c] for c in need if c in self.old}
-        missing = [c for c in need if c not in found]
-        for i in range(0, len(missing), TOGETHER):
-            part = missing[i : i + TOGETHER]
-            found.update(zip(part, self.learn(part)))
-        self.now.update(found)
-        return found
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text."""
-        known, raw, waiting, need = self.now.get, [b""] * len(texts), [], set()
-        for i, text in enumerate(texts):
-            chunks = self.chunks(text)
-            parts = list(map(known, chunks))
-            try:
-                raw[i] = b"".join(parts)
-            except TypeError:  # some chunk is unknown
-                gaps = list(compress(range(len(parts)), map(is_, parts, repeat(None))))
-                need.update(map(chunks.__getitem__, gaps))
-                waiting.append((i, chunks, parts, gaps))
-        found = self.fetch(need) if need else {}
-        for i, chunks, parts, gaps in waiting:
-            for k in gaps:
-                parts[k] = found[chunks[k]]
-            raw[i] = b"".join(parts)
-        return [np.frombuffer(x, np.uint32) for x in raw]
-
-
-class Encoder(ChunkCache):
+class Encoder(ColumnEncoder):
     """Chunks between white space, encoded with the pair occurrence index."""
 
-    def __init__(self, path: str):
-        super().__init__()
+    def __init__(self, path: str, **limits: int):
         self.bpe = WordBpe(path)
-
-    def chunks(self, text: str) -> list[str]:
-        if "\t" in text or "\r" in text or "\n" in text:
-            text = text.replace("\t", " ").replace("\r", " ").replace("\n", " ")
-        return text.split(" ")
-
-    def learn(self, chunks: list[str]) -> list[bytes]:
+        self.special = [s for s in self.bpe.special if any(c.isspace() for c in s)]  # others lie within a chunk
+        self.kind = np.dtype("<u2" if len(self.bpe.tokens) <= 1 << 16 else "<u4")
+        super().__init__(**{"together": 2 * TOGETHER, **limits})
+
+    def learn(self, chunks: list[bytes]) -> list[bytes]:
+        out: list[bytes] = []
+        held = 0
+        part: list[str] = []
+        for c in chunks:
+            part.append(c.decode().strip(" \t\n\r\x0b\x0c"))
+            held += len(c)
+            if held >= TOGETHER:
+                out += self._learn(part)
+                part, held = [], 0
+        return out + self._learn(part) if part else out
+
+    def _learn(self, chunks: list[str]) -> list[bytes]:
         bpe, parts, words = self.bpe, [], {}
         for c in chunks:
             own: list[int] = []
@@ -233,8 +192,8 @@ class Encoder(ChunkCache):
                 at = e
             parts.append(own)
         ids, bounds = bpe.merge(list(words)) if words else (np.zeros(0, np.int64), np.zeros(1, np.int64))
-        ids, cut = ids.astype("<u4").tobytes(), (4 * bounds).tolist()
-        return [b"".join(ids[cut[w] : cut[w + 1]] if w >= 0 else np.uint32(-1 - w).tobytes() for w in own) for own in parts]
+        ids, cut = ids.astype(self.kind).tobytes(), (self.kind.itemsize * bounds).tolist()
+        return [b"".join(ids[cut[w] : cut[w + 1]] if w >= 0 else self.kind.type(-1 - w).tobytes() for w in own) for own in parts]
 
     def decode(self, ids: np.ndarray) -> str:
         """Tokens joined by spaces: the file names no decoder."""
@@ -259,10 +218,9 @@ def encode_documents(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text
         enc = _encoder(tokenizer)
         for big in batches:
             for rows in _blocks(big, 1, 4 << 20):
-                ids = enc.encode([t.decode("utf-8", "replace") if t else "" for t in rows.column(1).to_pylist()])
-                bounds = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-                flat = pa.array(np.concatenate([*ids, np.zeros(0, np.uint32)]).astype(np.int32))
-                yield pa.RecordBatch.from_arrays([rows.column(0), pa.ListArray.from_arrays(pa.array(bounds), flat), pa.array([enc.decode(x) for x in ids], pa.string())], names=["id", "ids", "decoded"])
+                ids, bounds = enc.encode_column(rows.column(1))
+                lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids.astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([rows.column(0), lists, pa.array([enc.decode(x) for x in np.split(ids, bounds[1:-1])], pa.string())], names=["id", "ids", "decoded"])
 
     kind = df.schema[id_col].dataType.simpleString()
     return df.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("t")).mapInArrow(run, f"id {kind}, ids array<int>, decoded string")
@@ -281,7 +239,8 @@ def token_digests(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_co
         sha = lambda s: hashlib.sha256(s.encode("utf-8", "surrogatepass")).hexdigest()
         for big in batches:
             for rows in _blocks(big, 1, 4 << 20):
-                ids = enc.encode([t.decode("utf-8", "replace") if t else "" for t in rows.column(1).to_pylist()])
+                flat, bounds = enc.encode_column(rows.column(1))
+                ids = np.split(flat, bounds[1:-1])
                 yield pa.RecordBatch.from_arrays(
                     [rows.column(0), pa.array([len(x) for x in ids], pa.int64()), pa.array([sha(" ".join(map(digit.__getitem__, x.tolist()))) for x in ids]), pa.array([sha(enc.decode(x)) for x in ids])],
                     names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],

@@ -49,8 +49,8 @@ def test_byte_encoder_equals_the_library(byte):
         assert ids.tolist() == byte.encode(text, add_special_tokens=False).ids, repr(text)
 
 
-@settings(max_examples=300, deadline=None)
-@given(st.text(st.characters(exclude_categories=["Cs"]), max_size=60))
+@settings(max_examples=500, deadline=None)
+@given(st.one_of(st.text(st.characters(exclude_categories=["Cs"]), max_size=60), st.text("ab., \n\t\u00a0\u3000é×Σσ'1<|", max_size=40)))
 def test_any_text_encodes_as_the_library_does(text):
     for cls, name in ((bpe.Encoder, WORD), (tokenfile.ByteEncoder, BYTE)):
         key = name
@@ -81,26 +81,59 @@ def test_digests_of_odd_rows(odd_docs, no_docs, word):
 
 
 def test_token_files(spark, odd_docs, no_docs, byte):
-    docs = odd_docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
     stage = Stage(spark, "t")
     manifest = tokenfile.write_shards(odd_docs, tokenizer_path(BYTE), f"{stage.root}/shards", stage, shard_bytes=20_000)
-    got = {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in tokenfile.read_shards(manifest).collect()}
-    at, want = 0, {}
-    for r in sorted(docs.select("doc_id", "text").collect()):
+    got = sorted((r.start, r.doc_id, r.n_tokens, r.ids_crc32) for r in tokenfile.read_shards(manifest).collect())
+    rows = odd_docs.selectExpr("doc_id", "text", "xxhash64(cast(coalesce(text, '') as binary)) AS h").collect()
+    at, want = 0, []
+    for r in sorted(rows, key=lambda r: (r.doc_id is None, r.doc_id or 0, r.h)):
         ids = [*byte.encode(r.text or "", add_special_tokens=False).ids, 0]
-        want[r.doc_id] = (at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        want.append((at, r.doc_id, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         at += len(ids)
-    assert got == want
+    assert got == want and sum(r[1] is None for r in got) == 2
     for shard in manifest.collect():
         reader = tokenfile.ShardReader(shard.path)
-        keys = reader.keys()
+        keys = np.unique(reader.documents()[0][: reader.n_docs - reader.nameless])
         known, first, last = reader.find(keys)
         assert known.all() and sorted(reader.index.slots(keys).tolist()) == list(range(len(keys)))
+        assert all((x == y).all() for x, y in zip(reader.find(keys), reader.find_all(keys)))
+        for k, a, b in zip(keys.tolist(), first.tolist(), last.tolist()):
+            assert b - a == sum(n for _, i, n, _ in want if i == k)
         assert not reader.find(keys + 1_000_003)[0].any()
     empty = tokenfile.write_shards(no_docs, tokenizer_path(BYTE), f"{stage.root}/none", stage)
     assert tokenfile.read_shards(empty).count() == 0
 
 
+@pytest.mark.parametrize("limits", [{"entries": 40, "room": 300}, {"entries": 500, "room": 4000, "together": 200}, {"longest": 4}, {"entries": 3, "room": 10}])
+def test_a_full_table_forgets_and_encodes_alike(word, byte, limits):
+    rng = np.random.default_rng(8)
+    words = ["".join(rng.choice(list("abcdeéßñ."), rng.integers(1, 9))) for _ in range(300)]
+    texts = [" ".join(rng.choice(words, 60)) + rng.choice([".", "\n", " ", ",", "\u00a0 x"]) for _ in range(40)] + HARD
+    for cls, name, lib in ((bpe.Encoder, WORD, word), (tokenfile.ByteEncoder, BYTE, byte)):
+        enc = cls(tokenizer_path(name), **limits)
+        for _ in range(2):
+            for k in range(0, len(texts), 7):
+                got = enc.encode(texts[k : k + 7])
+                assert [x.tolist() for x in got] == [lib.encode(t, add_special_tokens=False).ids for t in texts[k : k + 7]]
+        assert enc.table.count <= enc.table.entries and enc.table._key_end <= enc.table.room
+
+
+def test_equal_hashes_are_told_apart(byte):
+    enc = tokenfile.ByteEncoder(tokenizer_path(BYTE))
+    enc.table._hashes = lambda data, cuts: (np.diff(cuts) % 2).astype(np.uint64)  # nearly all chunks collide
+    for _ in range(2):
+        assert [x.tolist() for x in enc.encode(HARD)] == [byte.encode(t, add_special_tokens=False).ids for t in HARD]
+
+
+def test_bytes_that_are_no_text(byte):
+    import pyarrow as pa
+
+    enc = tokenfile.ByteEncoder(tokenizer_path(BYTE))
+    raw = [b"ok then", b"bad \xff\xfe x", b"cut \xc3", b"\xa9 rest", None, b"", b"fine \xc3\xa9."]
+    ids, bounds = enc.encode_column(pa.array(raw, pa.binary()))
+    assert [x.tolist() for x in np.split(ids, bounds[1:-1])] == [byte.encode((t or b"").decode("utf-8", "replace"), add_special_tokens=False).ids for t in raw]
+
+
 def test_perfect_hash_is_minimal():
     keys = np.unique(np.random.default_rng(0).integers(-(1 << 62), 1 << 62, 50_000))
     index = tokenfile.PerfectHash.build(keys)
