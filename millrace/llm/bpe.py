@@ -33,7 +33,7 @@ _W = "".join(map(chr, [9, 10, 11, 12, 13, 32, 0x85, 0xA0, 0x1680, *range(0x2000,
 _PRETOKEN = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{_W}\p{{L}}\p{{N}}]+")
 _NONE = np.iinfo(np.int64).max
 #: Bytes of chunks merged together, about.
-TOGETHER = 2 << 20
+TOGETHER = 1 << 20
 
 
 def byte_symbols() -> list[str]:

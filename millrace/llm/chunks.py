@@ -24,7 +24,7 @@ import pyarrow as pa
 from millrace.llm.secretscan import column_bytes
 
 #: Entries and bytes of text that a worker remembers, and the longest chunk that is remembered.
-ENTRIES, BYTES, LONGEST = 1 << 21, 32 << 20, 64
+ENTRIES, BYTES, LONGEST = 3 << 19, 24 << 20, 64
 #: Bytes looked up together.
 TOGETHER = 1 << 20
 _FACTOR = 0x9E3779B97F4A7C15
