@@ -10,8 +10,8 @@ an overlap counts when at least ``similarity`` of its words agree and it spans
 Of an overlap that the default thresholds admit, one of the two masks below finds
 an untouched seed, wherever the substitutions fall: the tests try all of them for
 13 to 25 words, and a longer overlap holds one of such a length that counts too.
-Items of 8 to 12 words use runs of 3 words, items of 5 to 7 words must occur
-whole, and items of fewer than 5 words are no evidence and never match.
+Items of 8 to 12 words use runs of 3 words, and shorter items must occur whole;
+items of fewer than ``shortest`` words (5) are no evidence and never match.
 """
 
 from __future__ import annotations
@@ -31,10 +31,14 @@ MASK = (0, 1, 3, 6, 7)
 MASKS = (MASK, (0, 2, 8, 10, 11))
 RUN = (0, 1, 2)
 LEAST, SIMILARITY = 13, 0.8
+#: Words of an item below which it is no evidence.
+SHORTEST = 5
 #: Benchmark text broadcast together, in bytes; more items are scanned in further blocks.
 BLOCK = 4 << 20
 #: Text searched together, in bytes; a longer text is searched alone, whole.
 TOGETHER = 1 << 20
+#: Meetings of a text's seed with an item's that are held at once, about.
+SEEDS = 1 << 20
 
 _WORD = np.zeros(256, bool)
 _WORD[[*b"abcdefghijklmnopqrstuvwxyz0123456789"]] = True
@@ -43,10 +47,12 @@ _POWER = np.multiply.accumulate(np.full(1024, 0x9E3779B97F4A7C15, np.uint64))
 
 
 def lowered(column: pa.Array) -> pa.Array:
+    """Lower case, character by character, of texts and items alike; what is no UTF-8 becomes U+FFFD first."""
     try:
-        return pc.utf8_lower(column.cast(pa.string())).cast(pa.binary())
+        text = column.cast(pa.string())
     except pa.ArrowInvalid:
-        return pa.array([None if t is None else t.decode("utf-8", "replace").lower().encode() for t in column.cast(pa.binary()).to_pylist()], pa.binary())
+        text = pa.array([None if t is None else t.decode("utf-8", "replace") for t in column.cast(pa.binary()).to_pylist()], pa.string())
+    return pc.utf8_lower(text).cast(pa.binary())
 
 
 def words(data: np.ndarray, bounds: np.ndarray):
@@ -102,12 +108,12 @@ class Index:
     quick: list[np.ndarray]
 
     @staticmethod
-    def build(rows: list[tuple[int, bytes]], least: int = LEAST) -> "Index":
+    def build(rows: list[tuple[int, bytes]], least: int = LEAST, shortest: int = SHORTEST) -> "Index":
         ids = [i for i, _ in rows]
         item = [words(np.frombuffer(t, np.uint8), np.array([0, len(t)]))[0] for _, t in rows]
         by: dict[tuple, list[tuple[np.ndarray, int]]] = {}
         for k, h in enumerate(item):
-            if len(h) >= 5:
+            if len(h) >= max(1, shortest):
                 for mask in MASKS if len(h) >= least else (RUN if len(h) >= 8 else tuple(range(len(h))),):
                     by.setdefault(mask, []).append((seeds(h, mask), k))
         keys, where, quick = [], [], []
@@ -135,11 +141,15 @@ class Index:
             at = np.flatnonzero(quick[(s >> np.uint64(42)).astype(np.int64)])
             lo, hi = np.searchsorted(keys, s[at]), np.searchsorted(keys, s[at], "right")
             at, lo, n = at[hi > lo], lo[hi > lo], (hi - lo)[hi > lo]
-            at = np.repeat(at, n)
-            k = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum()) if len(n) else lo
-            seen.append(np.column_stack([doc[at], where[k, 0], at - where[k, 1]]))
+            edge = np.cumsum(n)
+            cut = np.unique(np.append(np.searchsorted(edge, np.arange(SEEDS, edge[-1], SEEDS)), len(n))) if len(n) else []
+            for a, b in zip([0, *cut[:-1]], cut):  # seeds met together, about SEEDS at a time
+                many = n[a:b]
+                row = np.repeat(at[a:b], many)
+                k = np.repeat(lo[a:b] - (np.cumsum(many) - many), many) + np.arange(many.sum())
+                seen.append(np.unique(np.column_stack([doc[row], where[k, 0], row - where[k, 1]]), axis=0))
         best: dict[tuple[int, int], tuple[int, int]] = {}
-        for d, k, shift in np.unique(np.concatenate(seen), axis=0).tolist():
+        for d, k, shift in np.unique(np.concatenate([np.zeros((0, 3), np.int64), *seen]), axis=0).tolist():
             item = self.item[k]
             lo, hi = max(shift, int(first[d])), min(shift + len(item), int(last[d]))
             if hi - lo < min(least, len(item)):
@@ -150,21 +160,21 @@ class Index:
         return [(d, k, *v) for (d, k), v in sorted(best.items())]
 
 
-def benchmark_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", block: int = BLOCK, least: int = LEAST):
-    """Indexes over the benchmark, each of about ``block`` bytes of text."""
+def benchmark_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", block: int | None = None, least: int = LEAST, shortest: int = SHORTEST):
+    """Indexes over the benchmark, each of about ``block`` (else ``BLOCK``) bytes of text."""
     rows: list[tuple[int, bytes]] = []
     held = 0
-    for r in benchmark.select(F.col(id_col).cast("long").alias("i"), F.lower(F.coalesce(F.col(text_col), F.lit(""))).cast("binary").alias("t")).toLocalIterator():
+    for r in benchmark.select(F.col(id_col).cast("long").alias("i"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("t")).toLocalIterator():
         rows.append((r.i, lowered(pa.array([bytes(r.t)], pa.binary()))[0].as_py()))
         held += len(r.t)
-        if held >= block:
-            yield Index.build(rows, least)
+        if held >= (block or BLOCK):
+            yield Index.build(rows, least, shortest)
             rows, held = [], 0
     if rows:
-        yield Index.build(rows, least)
+        yield Index.build(rows, least, shortest)
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST, similarity: float = SIMILARITY) -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST, similarity: float = SIMILARITY, shortest: int = SHORTEST) -> DataFrame:
     """(doc_id, item_id, overlap_words, matched_words) per leaked pair.
 
     One row for each text and item that overlap, with their longest overlap.
@@ -176,7 +186,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     schema = f"doc_id {kind}, item_id long, overlap_words int, matched_words int"
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
     out = None
-    for index in benchmark_blocks(benchmark, least=least):
+    for index in benchmark_blocks(benchmark, least=least, shortest=shortest):
 
         def run(batches, index=index):
             for big in batches:
@@ -192,10 +202,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     return out if out is not None else docs.sparkSession.createDataFrame([], schema)
 
 
-def drop_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", least: int = LEAST, similarity: float = SIMILARITY) -> DataFrame:
+def drop_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", least: int = LEAST, similarity: float = SIMILARITY, shortest: int = SHORTEST) -> DataFrame:
     """The rows whose text overlaps no benchmark item, all columns kept."""
     at = docs.columns.index(text_col)
-    for index in benchmark_blocks(benchmark, least=least):
+    for index in benchmark_blocks(benchmark, least=least, shortest=shortest):
 
         def run(batches, index=index):
             for big in batches:

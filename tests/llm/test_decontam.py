@@ -1,3 +1,4 @@
+import functools
 import itertools
 import re
 
@@ -35,31 +36,33 @@ def test_overlaps_of_more_substitutions_are_found(spark, n, lost):
     assert [r.doc_id for r in D.drop_leaks(docs, items).collect()] == [2]
 
 
+_NUMBER: dict[str, int] = {}
+
+
+@functools.lru_cache(1000)
 def words(text):
-    return re.findall("[a-z0-9\x80-\U0010ffff]+", (text or "").lower())
+    found = re.findall("[a-z0-9\x80-\U0010ffff]+", (text or "").lower())
+    return np.array([_NUMBER.setdefault(w, len(_NUMBER)) for w in found], np.int64)
 
 
 def plain(text, item, least=D.LEAST, similarity=D.SIMILARITY):
-    """Whether some alignment without gaps has a long enough stretch, by trying all."""
-    a, b = words(text), words(item)
-    if len(b) < 5:
+    """Whether some alignment without gaps has a long enough stretch, by trying all, over the whole text."""
+    a, y = words(text), words(item)
+    if len(y) < 5:
         return False
-    need, share = min(least, len(b)), similarity if len(b) >= 8 else 1.0
-    number = {w: i for i, w in enumerate(dict.fromkeys(a + b))}
-    x = np.array([-1] * len(b) + [number[w] for w in a] + [-1] * len(b))
-    y = np.array([number[w] for w in b])
-    for shift in range(len(x) - len(b) + 1):
-        same = x[shift : shift + len(b)] == y
-        if same.sum() < share * need - 1e-9:
-            continue
-        there = x[shift : shift + len(b)] >= 0
-        for i in range(len(b)):
-            for j in range(i + need, len(b) + 1):
+    need, share = min(least, len(y)), similarity if len(y) >= 8 else 1.0
+    pad = np.full(len(y), -1)
+    aligned = np.lib.stride_tricks.sliding_window_view(np.concatenate([pad, a, pad]), len(y))
+    for k in np.flatnonzero((aligned == y).sum(axis=1) >= share * need - 1e-9):
+        same, there = aligned[k] == y, aligned[k] >= 0
+        for i in range(len(y)):
+            for j in range(i + need, len(y) + 1):
                 if there[i:j].all() and same[i:j].sum() >= share * (j - i) - 1e-9:
                     return True
     return False
 
 
+
 @pytest.fixture(scope="module")
 def tables(spark):
     rng = np.random.default_rng(8)
@@ -92,7 +95,7 @@ def test_blocks_change_nothing(spark, tables, monkeypatch):
     docs, benchmark = tables
     a, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(benchmark, "item_id long, text string")
     whole = sorted(map(str, D.find_leaks(a, b).collect()))
-    monkeypatch.setattr(D.benchmark_blocks, "__defaults__", ("item_id", "text", 100, D.LEAST))
+    monkeypatch.setattr(D, "BLOCK", 100)
     assert sorted(map(str, D.find_leaks(a, b).collect())) == whole
     kept = {r.doc_id for r in D.drop_leaks(a, b).collect()}
     assert kept == {d for d, _ in docs} - {int(re.search(r"doc_id=(\d+)", x)[1]) for x in whole}
@@ -104,3 +107,25 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert D.drop_leaks(odd_docs, items).count() == odd_docs.count()
     assert D.find_leaks(odd_docs, items.limit(0)).count() == 0 and D.drop_leaks(odd_docs, items.limit(0)).count() == odd_docs.count()
     assert D.find_leaks(no_docs, items).count() == 0
+
+
+def test_items_and_texts_are_lower_cased_alike(spark):
+    upper = "ΟΔΟΣ ΜΕΓΑΣ ΛΟΓΟΣ ΝΟΜΟΣ ΚΟΣΜΟΣ ΤΟΠΟΣ"
+    mixed = "İstanbul ǅ ẞtraße ÀÉ ΣΑΣ Σ' ΑΣ. one two three four five six"
+    items = spark.createDataFrame([(1, upper), (2, mixed)], "item_id long, text string")
+    docs = spark.createDataFrame([(10, upper), (11, upper.lower()), (12, mixed), (13, "x " + mixed + " y"), (14, "clean")], "doc_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in D.find_leaks(docs, items).collect()}
+    assert {(10, 1), (12, 2), (13, 2)} <= got and not any(d == 14 for d, _ in got)
+
+
+def test_a_word_repeated_without_end(spark, monkeypatch):
+    monkeypatch.setattr(D, "SEEDS", 1000)
+    index = D.Index.build([(1, b"no " * 40), (2, b"yes no " * 20)])
+    text = b"no " * 3000
+    assert [x[:2] + (x[2] == x[3],) for x in index.search(np.frombuffer(text, np.uint8), np.array([0, len(text)]), D.LEAST, D.SIMILARITY)] == [(0, 0, True)]
+
+
+def test_the_shortest_item_is_a_parameter(spark):
+    items = spark.createDataFrame([(1, "just three words")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "these are just three words of it")], "doc_id long, text string")
+    assert D.find_leaks(docs, items).count() == 0 and D.find_leaks(docs, items, shortest=3).count() == 1
