@@ -9,11 +9,11 @@ bit losses, each weighted by how reliable its classifier is.
 from __future__ import annotations
 
 import itertools
-import re
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,7 +24,8 @@ BUCKETS = 1 << 14
 SAMPLE = 2000
 #: Bits of the code for more languages than the exhaustive code serves.
 BITS = 48
-_LETTER = re.compile(r"[^\W\d_]")
+#: A letter is a character of Unicode category L.
+_LETTER = regex.compile(r"\p{L}")
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _LOWER[[9, 10, 11, 12, 13]] = 32
@@ -122,7 +123,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col:
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, lang_pred, score, ambiguous) for every row, from the whole text alone.
 
-    A text that is null or has no letter is ``und`` with score 0, as is every
+    A text that is null or has no letter (Unicode category L) is ``und`` with score 0, as is every
     text when nothing could be learned. Ids null or repeated are kept as they
     come; other columns are ignored.
     """
