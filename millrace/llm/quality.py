@@ -1,9 +1,9 @@
 """Quality scores by compression with two trained zstandard dictionaries.
 
 One dictionary is built from text labelled good, one from text labelled bad.
-A text is compressed piece by piece with both; the normalised difference of the
-sizes says which kind it resembles. A logistic calibration over the mean and
-extreme differences and the compression ratio turns that into a probability.
+A text is compressed piece by piece with both; the difference of the sizes,
+normalised by the text's length, says which kind it resembles, and a logistic
+calibration turns that one number into a probability.
 """
 
 from __future__ import annotations
@@ -19,10 +19,13 @@ from pyspark.sql import functions as F
 
 #: Labelled rows per class that the model is fitted on, at most.
 SAMPLE = 3000
-#: Pieces of a sampled text that go into a dictionary, at most.
+#: Pieces of a sampled text that go into a dictionary, at most (a long text's are drawn by hash over all of it).
 PIECES = 16
 PIECE = 512
 DICTIONARY = 112 << 10
+LEVEL = 3
+#: Difference in bytes per byte beyond which more of it counts less.
+BEND = 0.03
 
 
 def held_out(id_col: Column) -> Column:
@@ -39,29 +42,25 @@ class Model:
     weight: np.ndarray
 
     def compressors(self):
-        return [zstandard.ZstdCompressor(level=1, dict_data=zstandard.ZstdCompressionDict(d), write_content_size=False, write_dict_id=False, write_checksum=False) if d else zstandard.ZstdCompressor(level=1, write_content_size=False, write_checksum=False) for d in (self.good, self.bad)]
+        kind = {"level": LEVEL, "write_content_size": False, "write_dict_id": False, "write_checksum": False}
+        return [zstandard.ZstdCompressor(**kind, dict_data=zstandard.ZstdCompressionDict(d)) if d else zstandard.ZstdCompressor(**kind) for d in (self.good, self.bad)]
 
-    def score(self, features: np.ndarray) -> np.ndarray:
-        z = (design(features) - self.center) / self.scale @ self.weight
+    def score(self, difference: np.ndarray) -> np.ndarray:
+        z = (design(difference) - self.center) / self.scale @ self.weight
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def features(text: bytes, good, bad) -> tuple[float, float, float, float]:
-    """Mean, largest and least normalised size difference; ratio under good."""
+def difference(text: bytes, good, bad) -> float:
+    """Compressed sizes of all pieces under good less under bad, per byte of text; 0 for an empty one."""
     if not text:
-        return 0.0, 0.0, 0.0, 1.0
-    a, b = [], []
-    for i in range(0, len(text), PIECE):
-        piece = text[i : i + PIECE]
-        a.append(len(good.compress(piece)))
-        b.append(len(bad.compress(piece)))
-    a, b = np.array(a, float), np.array(b, float)
-    d = (a - b) / (a + b)
-    return float((a - b).sum() / (a + b).sum()), float(d.max()), float(d.min()), float(a.sum() / len(text))
+        return 0.0
+    pieces = [text[i : i + PIECE] for i in range(0, len(text), PIECE)]
+    return sum(len(good.compress(p)) - len(bad.compress(p)) for p in pieces) / len(text)
 
 
-def design(f: np.ndarray) -> np.ndarray:
-    return np.column_stack([np.ones(len(f)), f, f**2, f[:, 0] * f[:, 3]])
+def design(d: np.ndarray) -> np.ndarray:
+    """The difference on a scale that is linear up to ``BEND`` and logarithmic beyond, so that extreme texts do not rule the fit."""
+    return np.column_stack([np.ones(len(d)), np.arcsinh(d / BEND)])
 
 
 def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-4):
@@ -98,13 +97,14 @@ def _dictionary(pieces: list[bytes]) -> bytes:
         return b"".join(pieces)[-DICTIONARY:]
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Model:
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", pieces: int = PIECES) -> Model:
     """Fit on at most ``sample`` labelled rows of each class that are not held out.
 
     Rows are drawn by a hash of their id: two thirds build the dictionaries, one
-    third calibrates, weighted by how often each class occurs among all labels. Ids labelled twice with different
-    values, null labels and null ids are left out. Without both classes the
-    score is the share of label 1 (one half without any label).
+    third calibrates, weighted by how often each class occurs among all labels.
+    Of a text at most ``pieces`` pieces go into a dictionary. Ids labelled twice
+    with different values, null labels and null ids are left out. Without both
+    classes the score is the share of label 1 (one half without any label).
     """
     known = (
         labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("y"))
@@ -125,34 +125,32 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str =
                 if calibrates(i):
                     continue
                 starts = range(0, max(1, len(t)), PIECE)
-                if len(starts) > PIECES:
-                    starts = sorted(sorted(starts, key=lambda s: zlib.crc32(f"{i}:{s}".encode()))[:PIECES])
+                if len(starts) > pieces:
+                    starts = sorted(sorted(starts, key=lambda s: zlib.crc32(f"{i}:{s}".encode()))[:pieces])
                 out += [(i, y, t[s : s + PIECE]) for s in starts if t[s : s + PIECE]]
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], kind) for k, kind in enumerate((pa.int64(), pa.int32(), pa.binary()))], names=["id", "y", "p"])
 
-    pieces = sorted((zlib.crc32(bytes(r.p)), r.y, bytes(r.p)) for r in texts.mapInArrow(cut, "id long, y int, p binary").collect())
-    by = {y: [p for _, z, p in pieces if z == y] for y in (0, 1)}
+    drawn = sorted((zlib.crc32(bytes(r.p)), r.y, bytes(r.p)) for r in texts.mapInArrow(cut, "id long, y int, p binary").collect())
+    by = {y: [p for _, z, p in drawn if z == y] for y in (0, 1)}
     if not by[0] or not by[1]:
         share = counts.get(1, 0) / sum(counts.values()) if counts else 0.5
-        w = np.zeros(10)
-        w[0] = np.log((share + 1e-3) / (1 - share + 1e-3))
-        return Model(b"", b"", np.zeros(10), np.ones(10), w)
+        return Model(b"", b"", np.zeros(2), np.ones(2), np.array([np.log((share + 1e-3) / (1 - share + 1e-3)), 0.0]))
     model = Model(_dictionary(by[1]), _dictionary(by[0]), None, None, None)
 
     def measure(batches):
         good, bad = model.compressors()
         for rows in batches:
-            own = [(i, y, features(t, good, bad)) for i, y, t in zip(*(rows.column(c).to_pylist() for c in ("id", "y", "t"))) if calibrates(i)]
-            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in own], kind) for k, kind in enumerate((pa.int64(), pa.int32(), pa.list_(pa.float64())))], names=["id", "y", "f"])
+            own = [(i, y, difference(t, good, bad)) for i, y, t in zip(*(rows.column(c).to_pylist() for c in ("id", "y", "t"))) if calibrates(i)]
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in own], kind) for k, kind in enumerate((pa.int64(), pa.int32(), pa.float64()))], names=["id", "y", "d"])
 
-    seen = sorted((r.id, r.y, *r.f) for r in texts.mapInArrow(measure, "id long, y int, f array<double>").collect())
-    table = np.array(seen, float).reshape(-1, 6)
+    seen = sorted((r.id, r.y, r.d) for r in texts.mapInArrow(measure, "id long, y int, d double").collect())
+    table = np.array(seen, float).reshape(-1, 3)
     y = table[:, 1]
     if not 0 < y.sum() < len(y):  # too few rows to calibrate: the mean difference decides
-        model.center, model.scale, model.weight = np.zeros(10), np.ones(10), np.r_[0, -50.0, np.zeros(8)]
+        model.center, model.scale, model.weight = np.zeros(2), np.ones(2), np.array([0.0, -2.0])
         return model
     weight = np.where(y == 1, counts[1] / y.sum(), counts[0] / (len(y) - y.sum()))
-    model.center, model.scale, model.weight = logistic(design(table[:, 2:]), y, weight)
+    model.center, model.scale, model.weight = logistic(design(table[:, 2]), y, weight)
     return model
 
 
@@ -172,7 +170,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "sco
     def run(batches):
         good, bad = model.compressors()
         for rows in batches:
-            f = np.array([features(t, good, bad) for t in rows.column(at).cast(pa.binary()).to_pylist()], float).reshape(-1, 4)
-            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(model.score(f))], names=[*kept, out])
+            d = np.array([difference(t, good, bad) for t in rows.column(at).cast(pa.binary()).to_pylist()], float)
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(model.score(d))], names=[*kept, out])
 
     return docs.mapInArrow(run, schema)
