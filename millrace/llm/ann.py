@@ -7,9 +7,11 @@ the top layer down, with a beam that keeps the best nodes met. A beam that
 fills with links is widened, up to the whole shard; then a recall audit
 compares a sample of the queries with brute force and widens all beams until
 it passes. The sample grows until it holds enough links of a vector with
-another; where a search has too few, it grows to all queries, and what brute
-force found is the result. Found pairs are verified in double precision, and the
-links are united into components.
+another; where a search has fewer, it grows to all queries, so that recall is
+measured on all there are. The graph is searched at every size: the first beam
+is a quarter of a small shard, and only a beam as wide as its shard (from
+``LEAST_BEAM`` vectors down the first one) compares with all. Found pairs are
+verified in double precision, and the links are united into components.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from millrace.llm.common import Stage, connected_components, star_labels
 #: Distinct vectors in a shard, about.
 SHARD = 8192
 LINKS = 16
-BEAM = 64
+BEAM, LEAST_BEAM = 64, 4
 #: Queries that the audit adds to its sample at once, links that the sample must hold, and the recall asked for.
 AUDIT, AUDIT_LINKS, RECALL = 256, 256, 0.99
 _BATCH = 256
@@ -199,6 +201,7 @@ def close_rows(graph: Graph, q: np.ndarray, least: float, own: bool = False, aud
     """(query row, node) of pairs that may reach cosine ``least``, by widening beams.
 
     With ``own`` the queries are the nodes; a node's pair with itself is left out.
+    The links that the audit's brute force met are among the pairs.
     """
     n, edge = len(graph.vec), least - 1e-5
     scan = lambda rows: [(rows[i : i + 64][r], c) for i in range(0, len(rows), 64) for r, c in [np.nonzero(q[rows[i : i + 64]] @ graph.vec.T >= edge)]]
@@ -207,13 +210,11 @@ def close_rows(graph: Graph, q: np.ndarray, least: float, own: bool = False, aud
         probe = order[probed : probed + audit]
         truth = np.concatenate([truth, *[a * n + b for a, b in ((a[a != b], b[a != b]) if own else (a, b) for a, b in scan(probe))]])
         probed += len(probe)
-    if probed == len(q):
-        return truth // n, truth % n
-    width = beam
+    width = min(beam, max(LEAST_BEAM, n // 4))
     while True:
         pairs, todo, wide = [], np.arange(len(q)), width
         while len(todo):
-            if 4 * wide >= n:  # a beam as wide as the shard: every node is met
+            if wide >= n:  # a beam as wide as the shard: every node is met
                 pairs += scan(todo)
                 break
             ids, sims = graph.search(q[todo], wide)
@@ -224,10 +225,10 @@ def close_rows(graph: Graph, q: np.ndarray, least: float, own: bool = False, aud
             todo, wide = todo[full], 4 * wide
         a, b = (np.concatenate([p[k] for p in pairs]) for k in (0, 1)) if pairs else (np.zeros(0, int), np.zeros(0, int))
         links = (a * n + b)[a != b] if own else a * n + b
-        if np.isin(truth, links).mean() >= recall or 4 * width >= n:
+        if not len(truth) or np.isin(truth, links).mean() >= recall or width >= n:
             links = np.union1d(links, truth)
             return links // n, links % n
-        width *= 2
+        width *= 4
 
 
 def _verified(x: np.ndarray, y: np.ndarray, a: np.ndarray, b: np.ndarray, least: float):
@@ -251,8 +252,8 @@ def _thaw(blob: bytes):
     at = 8 + 8 * k
     node, count = np.frombuffer(blob, np.int64, n, at), np.frombuffer(blob, np.int64, n, at + 8 * n)
     at += 16 * n
-    raw = np.frombuffer(blob, np.float32, n * d, at).reshape(n, d)
-    at += 4 * n * d
+    raw = np.frombuffer(blob, np.float64, n * d, at).reshape(n, d)
+    at += 8 * n * d
     tables = []
     for i in range(layers):
         shape = head[3 + 2 * i : 5 + 2 * i].tolist()
@@ -277,7 +278,7 @@ def near_duplicates(df: DataFrame, least: float = 0.98, id_col: str = "vec_id",
     gives no rows.
     """
     stage = Stage(df.sparkSession, "vectors")
-    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<float>").alias("v"), F.col(label_col).alias("label"))
+    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"), F.col(label_col).alias("label"))
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     able = F.coalesce(F.col("id").isNotNull() & F.col("label").isNotNull() & ~bad & F.exists("v", lambda x: x != 0), F.lit(False))
     rows = rows.withColumn("able", able)
@@ -289,7 +290,7 @@ def near_duplicates(df: DataFrame, least: float = 0.98, id_col: str = "vec_id",
     def build(table):
         node = table["node"].to_numpy()
         order = np.argsort((node.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ np.uint64(0x5BF03635), kind="stable")
-        raw = np.stack(table["v"].to_numpy())[order].astype(np.float32)
+        raw = np.stack(table["v"].to_numpy())[order].astype(np.float64)
         graph = Graph.build(unit(raw).astype(np.float32))
         blob = _freeze(node[order], table["n"].to_numpy().astype(np.int64)[order], raw, graph)
         return pa.table({**{c: table[c].slice(0, 1) for c in ("label", "d", "shards", "shard")}, "blob": pa.array([blob], pa.binary())})

@@ -107,3 +107,41 @@ def test_a_label_of_thousands(spark, shard, pairs):
     got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in ann.near_duplicates(df, shard=shard).collect()}
     first = np.where(near.any(axis=1), np.minimum(near.argmax(axis=1), np.arange(4000)), np.arange(4000))
     assert got == {i: (int(near[i].sum()), int(first[i]), bool(first[i] == i)) for i in range(4000)}
+
+
+def test_cosines_are_taken_in_double_precision(spark):
+    at = lambda c: [c, float(np.sqrt(1 - c * c))]
+    rows = [(i, v, y) for y, c in enumerate((0.98 + 1e-10, 0.98 - 1e-10)) for i, v in ((2 * y, [1.0, 0.0]), (2 * y + 1, at(c)))]
+    got = {r.vec_id: r.n_links for r in ann.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    assert got == {0: 1, 1: 1, 2: 0, 3: 0}
+
+
+@pytest.mark.parametrize("n", [5, 12, 60, 200, 256, 300, 1000])
+def test_graphs_of_all_sizes_are_searched(n):
+    """Links come from the graph, without the audit's, at every size."""
+    rng = np.random.default_rng(n)
+    x = rng.normal(size=(n, 16))
+    half = n // 2
+    x[half : 2 * half] = x[:half] + rng.normal(size=(half, 16)) * 0.05
+    unit = ann.unit(x).astype(np.float32)
+    near = unit @ unit.T >= 0.98
+    np.fill_diagonal(near, False)
+
+    class Counted(ann.Graph):
+        asked = 0
+
+        def search(self, q, width):
+            Counted.asked += len(q)
+            assert width < n
+            return super().search(q, width)
+
+    graph = Counted(unit, ann.Graph.build(unit).layers)
+    ids, sims = graph.search(unit, min(ann.BEAM, max(ann.LEAST_BEAM, n // 4)))
+    found = np.zeros((n, n), bool)
+    r, c = np.nonzero(sims >= 0.98)
+    found[r, ids[r, c]] = True
+    assert (found & near).sum() >= 0.9 * near.sum()
+    before = Counted.asked
+    a, b = ann.close_rows(graph, unit, 0.98, True)
+    assert Counted.asked >= before + n
+    assert set(zip(a.tolist(), b.tolist())) >= set(zip(*[v.tolist() for v in np.nonzero(near)]))
