@@ -50,7 +50,7 @@ EXTRA = (
     Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
     Rule("forge", r"gh[pousr]_[A-Za-z0-9]{20,}"),
     Rule("chatapp", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
-    Rule("webtoken", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+    Rule("webtoken", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
 )
 RULES = BASE + EXTRA
 

@@ -1,5 +1,7 @@
 import re
 
+import numpy as np
+
 from millrace.llm import secretscan as S
 
 TEXTS = [
@@ -54,3 +56,16 @@ def test_trigram_queries_hold_for_every_match():
                 low = text.lower()
                 post = {t: __import__("numpy").array([t in low]) for t in S._terms(query)}
                 assert S._evaluate(query, post, 1)[0]
+
+
+def test_long_runs_take_linear_time():
+    import time
+
+    def took(text):
+        began = time.process_time()
+        list(S.scan_block(np.frombuffer(text, np.uint8), np.array([0, len(text)])))
+        return time.process_time() - began
+
+    for piece in (b"eyJabcdefgh", b"eyJabcdefgh.", b"ghp_aaaa", b"xoxb-a", b"token  ", b"-----BEGIN AA ", b"password", b"AKIA"):
+        took(piece * 1000)
+        assert took(piece * 100_000) < 5, piece
