@@ -17,12 +17,15 @@ _FALLBACK: dict[str, str] = {}
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir``.
 
-    Where the session names none (local runs and tests) a temporary folder is
-    made once per application.
+    Where a local session names none (as in tests) a temporary folder is made
+    once per application; on a cluster that is an error, since executors could
+    not read each other's files.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _FALLBACK:
         _FALLBACK[app] = "file://" + tempfile.mkdtemp(prefix="millrace-")
@@ -37,14 +40,30 @@ class Stage:
     """Intermediate Parquet tables of one operator call, in the shared folder.
 
     A staged table cuts lineage and outlives the executors that wrote it, so a
-    lost executor costs only its running tasks.
+    lost executor costs only its running tasks. An operator's result reads its
+    tables, so they stay until the caller is done: ``clear`` deletes what was
+    staged since a ``mark``.
     """
 
+    _roots: list[str] = []
+
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+        self._roots.append(self.root)
         self._n = 0
 
+    @classmethod
+    def mark(cls) -> int:
+        return len(cls._roots)
+
+    @classmethod
+    def clear(cls, spark: SparkSession, mark: int = 0) -> None:
+        """Delete all tables of the operators called since ``mark``; nothing may read them any more."""
+        for root in cls._roots[mark:]:
+            _delete(spark, root)
+        del cls._roots[mark:]
+
     def put(self, df: DataFrame) -> DataFrame:
         path = f"{self.root}/{self._n}"
         self._n += 1
@@ -56,8 +75,12 @@ class Stage:
         """Delete a table that ``put`` returned and nothing reads any more."""
         for path in {f.rpartition("/")[0] for f in df.inputFiles()}:
             if "/" + self.root.rpartition("/")[2] + "/" in path:
-                p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-                p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+                _delete(self.spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def release(spark: SparkSession) -> None:
