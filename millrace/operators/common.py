@@ -8,23 +8,33 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: Rows of a side that may be broadcast; larger ones are joined by shuffle.
-BROADCAST_ROWS = 200_000
+#: Rows and bytes of a side that may be broadcast; larger ones are joined by shuffle.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 64 << 20
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast, but only of a table counted to have few rows.
+def small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast, but only of a table measured to be small in rows and in bytes.
 
-    The count stops at the bound, so it is cheap however large the table is.
+    Both are counted over the first rows up to the bound, so it is cheap however
+    large the table is. A row's bytes are those of its JSON.
     """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    told = df.limit(rows + 1).agg(F.count("*"), F.coalesce(F.sum(F.length(F.to_json(F.struct(*df.columns)))), F.lit(0))).first()
+    return F.broadcast(df) if told[0] <= rows and told[1] <= size else df
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir``; a temporary folder where a local session names none, an error on a cluster."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return (named or tempfile.mkdtemp(prefix="millrace-")).rstrip("/")
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Checkpoint in the folder the session names; a temporary one where it names none."""
+    """Checkpoint in the folder the session names."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="millrace-"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 
@@ -44,6 +54,18 @@ def ranked(keys: Sequence[str], *order: Column) -> Column:
     return F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
 
 
+def best_ranked(df: DataFrame, keys: Sequence[str], most: str, *order: Column, out: str = "rank", salts: int = 64) -> DataFrame:
+    """Adds the rank of each row within its key, for the first ``most`` rows (a column) of each.
+
+    Ranks are taken among the rows of a hash of the row first and only the best
+    of those again, so that a task meets at most ``salts`` times ``most`` rows of
+    a key that holds much of the table. ``order`` should tell all rows apart.
+    """
+    salted = df.withColumn("__salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
+    some = salted.withColumn("__own", ranked([*keys, "__salt"], *order)).where(F.col("__own") <= F.col(most)).drop("__own", "__salt")
+    return some.withColumn(out, ranked(keys, *order).cast("long")).where(F.col(out) <= F.col(most))
+
+
 def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str) -> DataFrame:
     """Sum of ``value`` over the earlier rows of the same key, itself left out.
 

@@ -2,20 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.operators.common import shared_folder
 from millrace.plans.registry import query
 from millrace.session import table
 from millrace.streaming import assembly, ingest
 
 
 def _folder(spark: SparkSession) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or "file://" + tempfile.mkdtemp(prefix="millrace-")
-    return f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    return f"{spark.sparkContext.getCheckpointDir() or shared_folder(spark)}/stream-{uuid.uuid4().hex}"
 
 
 def _arriving(spark: SparkSession, df: DataFrame, folder: str, parts: int = 3) -> DataFrame:
