@@ -28,14 +28,14 @@ def candidate_targets(spark: SparkSession, sf: str) -> DataFrame:
 
 def _seats(tie: str) -> str:
     return f"""
-WITH c AS (SELECT source, count(*) AS n FROM documents WHERE doc_id % 3 != 0 GROUP BY source),
+WITH c AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
 e AS (SELECT *, 73.0::DOUBLE * n / sum(n) OVER () AS exact FROM c), f AS (SELECT *, floor(exact) AS base FROM e)
 SELECT source, CAST(base + CASE WHEN row_number() OVER (ORDER BY exact - base DESC, source {tie}) <= 73 - sum(base) OVER () THEN 1 ELSE 0 END AS BIGINT) AS seats FROM f
 """
 
 
 def _weights(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").where("doc_id % 3 != 0").groupBy("source").agg(F.count("*").alias("n"))
+    return table(spark, sf, "documents").groupBy("source").agg(F.count("*").alias("n"))
 
 
 @query(_seats("DESC"))
@@ -101,12 +101,12 @@ def motif_floor_swap(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-WITH t AS (SELECT lang, count(*) AS selected FROM documents WHERE doc_id % 10 != 0 GROUP BY lang), g AS (SELECT * FROM (VALUES ('en', 300), ('fr', 2000000), ('de', 0), ('xx', 5)) v(lang, target))
+WITH t AS (SELECT lang, count(*) AS selected FROM documents GROUP BY lang), g AS (SELECT * FROM (VALUES ('en', 300), ('fr', 2000000), ('de', 0), ('xx', 5)) v(lang, target))
 SELECT lang, CAST(target AS BIGINT) AS target, CAST(coalesce(selected, 0) AS BIGINT) AS selected, CAST(round(CASE WHEN target = 0 THEN 100.0 ELSE 100.0 * coalesce(selected, 0) / target END, 4) AS DOUBLE) AS realization_pct,
   lang = 'de' AS source_error, (target = 0 OR coalesce(selected, 0) >= target * CASE lang WHEN 'fr' THEN 0.9 ELSE 0.99 END) AND lang != 'de' AS accepted FROM g LEFT JOIN t USING (lang)
 """)
 def quota_acceptance(spark: SparkSession, sf: str) -> DataFrame:
-    selected = table(spark, sf, "documents").where("doc_id % 10 != 0").groupBy("lang").agg(F.count("*").alias("selected"))
+    selected = table(spark, sf, "documents").groupBy("lang").agg(F.count("*").alias("selected"))
     wanted = fixed_rows(spark, "lang string, target long", ("en", 300), ("fr", 2000000), ("de", 0), ("xx", 5))
     rows = L.quota_acceptance(selected, wanted, "lang", {"fr": 0.9}, fixed_rows(spark, "lang string", ("de",)))
     return rows.select("lang", "target", "selected", F.round("realization_pct", 4).alias("realization_pct"), "source_error", "accepted")

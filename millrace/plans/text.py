@@ -101,7 +101,7 @@ def repetition_audit(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-WITH q AS (SELECT doc_id, lower(substring(text, 1, 400)) AS q FROM documents UNION ALL SELECT * FROM (VALUES
+WITH q AS (SELECT doc_id, lower(text) AS q FROM documents UNION ALL SELECT * FROM (VALUES
   (-1, 'if 12 boxes hold 3 items each, then what is the total area in percent?'), (-2, 'what is 2+2?')) v(doc_id, q)),
 p AS (SELECT doc_id, least(3, len(regexp_extract_all(q, '[0-9]+(?:\\.[0-9]+)?')) // 3)
   + least(3, len(regexp_extract_all(q, '[%/$]|fraction|ratio|percent|probab|average|speed|rate|area|volume|discount|interest|exchange|per\\s')))
@@ -111,7 +111,7 @@ SELECT CAST(doc_id AS BIGINT) AS doc_id, CAST(points AS BIGINT) AS points, CASE
 """)
 def math_difficulty(spark: SparkSession, sf: str) -> DataFrame:
     extra = fixed_rows(spark, "doc_id long, q string", (-1, "if 12 boxes hold 3 items each, then what is the total area in percent?"), (-2, "what is 2+2?"))
-    rows = table(spark, sf, "documents").select("doc_id", F.substring("text", 1, 400).alias("q")).unionByName(extra)
+    rows = table(spark, sf, "documents").select("doc_id", F.col("text").alias("q")).unionByName(extra)
     return rows.select("doc_id", T.math_points(F.col("q")).alias("points"), T.math_difficulty(F.col("q")).alias("level"))
 
 
