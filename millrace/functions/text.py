@@ -32,6 +32,12 @@ def shingles(w: Column, n: int = 8) -> Column:
     )
 
 
+def shingle_hashes(words: Column, n: int = 8) -> Column:
+    """64-bit hashes of the distinct shingles of an array of words; a short text is one shingle."""
+    runs = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(words) - n + 1)), lambda i: F.xxhash64(F.slice(words, i, n)))
+    return F.when(F.size(words) > 0, F.array_distinct(runs)).otherwise(F.array().cast("array<bigint>"))
+
+
 def jaccard(a: Column, b: Column) -> Column:
     return F.when((F.size(a) == 0) | (F.size(b) == 0), 0.0).otherwise(F.size(F.array_intersect(a, b)) / F.size(F.array_union(a, b)))
 

@@ -12,11 +12,12 @@ joins drop the nulls.
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import text as T
-from millrace.functions.geometry import hamming
 from millrace.operators.common import BROADCAST_ROWS, ranked, small
 
 NGRAM, THRESHOLD = 8, 0.5
@@ -28,26 +29,38 @@ def lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: t
 
 
 def prepared(df: DataFrame, text_col: str, n: int = NGRAM) -> DataFrame:
-    """Adds norm, shingle set and word set of a text column."""
+    """Adds norm, the set of shingle hashes and the set of words of a text column."""
     w = T.words(F.col(text_col))
-    return df.withColumn("__w", w).select("*", F.array_join("__w", " ").alias("norm"), T.shingles(F.col("__w"), n).alias("shingles"), F.array_distinct("__w").alias("words")).drop("__w")
+    return df.withColumn("__w", w).select("*", F.array_join("__w", " ").alias("norm"), T.shingle_hashes(F.col("__w"), n).alias("grams"), F.array_distinct("__w").alias("words")).drop("__w")
 
 
 def references(df: DataFrame, id_col: str, text_col: str, n: int = NGRAM) -> DataFrame:
     """(ref_id, ref_norm, ref_shingles, ref_words); empty instructions are dropped."""
-    told = df.where(F.coalesce(F.col(text_col), F.lit("")) != "").select(F.col(id_col).alias("ref_id"), F.col(text_col).alias("__t"))
-    return prepared(told, "__t", n).select("ref_id", F.col("norm").alias("ref_norm"), F.col("shingles").alias("ref_shingles"), F.col("words").alias("ref_words"))
+    told = df.where(F.coalesce(F.col(text_col), F.lit("")) != "").select(F.col(id_col).alias("ref_id"), T.words(F.col(text_col)).alias("__w"))
+    return told.select("ref_id", F.array_join("__w", " ").alias("ref_norm"), T.shingles(F.col("__w"), n).alias("ref_shingles"), F.array_distinct("__w").alias("ref_words"))
+
+
+def postings(refs: DataFrame) -> DataFrame:
+    """(ref_id, n_ref, ref_norm, shingle, gram): the references' shingles with the hashes texts are compared by."""
+    each = refs.select("ref_id", F.size("ref_shingles").alias("n_ref"), "ref_norm", F.explode("ref_shingles").alias("shingle"))
+    return each.withColumn("gram", F.xxhash64(F.split("shingle", " ")))
 
 
 def shingle_matches(texts: DataFrame, refs: DataFrame, key: list[str], rows: int = BROADCAST_ROWS) -> DataFrame:
-    """(key, ref_id, jaccard, containment, n_words, fragments) of pairs that share a shingle."""
-    postings = small(refs.select("ref_id", F.size("ref_shingles").alias("n_ref"), F.explode("ref_shingles").alias("shingle")), rows)
-    shared = texts.select(*key, F.size("shingles").alias("n_own"), F.size("words").alias("n_words"), F.explode_outer("shingles").alias("shingle")).join(postings, "shingle")
+    """(key, ref_id, same, jaccard, containment, n_words, fragments) of pairs that share a shingle.
+
+    Shingles meet by 64-bit hashes, so that texts carry numbers through the
+    join; fragments are the references' own strings. ``same`` compares the
+    normal forms by their SHA-256.
+    """
+    theirs = small(postings(refs).withColumn("__same", F.sha2("ref_norm", 256)).drop("ref_norm"), rows)
+    own = texts.select(*key, F.size("grams").alias("n_own"), F.size("words").alias("n_words"), "norm", F.explode_outer("grams").alias("gram"))
+    shared = own.join(theirs, "gram").withColumn("same", F.col("n_own") == F.col("n_ref")).withColumn("same", F.when(F.col("same"), F.sha2("norm", 256) == F.col("__same")).otherwise(False))
     counted = shared.groupBy(*key, "ref_id").agg(
-        F.count("*").alias("n"), F.first("n_own").alias("n_own"), F.first("n_ref").alias("n_ref"), F.first("n_words").alias("n_words"), F.collect_list("shingle").alias("found")
+        F.count("*").alias("n"), F.first("n_own").alias("n_own"), F.first("n_ref").alias("n_ref"), F.first("n_words").alias("n_words"), F.bool_or("same").alias("same"), F.collect_list("shingle").alias("found")
     )
     return counted.select(
-        *key, "ref_id", (F.col("n") / (F.col("n_own") + F.col("n_ref") - F.col("n"))).alias("jaccard"),
+        *key, "ref_id", "same", (F.col("n") / (F.col("n_own") + F.col("n_ref") - F.col("n"))).alias("jaccard"),
         (F.col("n") / F.col("n_own")).alias("containment"), "n_words", F.slice(F.array_sort("found"), 1, 5).alias("fragments"),
     )
 
@@ -58,12 +71,12 @@ def word_matches(texts: DataFrame, refs: DataFrame, key: list[str], threshold: f
     Of n words at least ceil(threshold n) must be shared, so one of the
     n - ceil(threshold n) + 1 rarest among the references must be.
     """
-    postings = refs.select("ref_id", F.explode("ref_words").alias("word"))
-    frequency = small(postings.groupBy("word").agg(F.count("*").alias("df")), rows)
+    theirs = refs.select("ref_id", F.explode("ref_words").alias("word"))
+    frequency = small(theirs.groupBy("word").agg(F.count("*").alias("df")), rows)
     each = texts.select(*key, "words", F.explode_outer("words").alias("word")).join(frequency, "word", "left")
     each = each.withColumn("__rank", ranked(key, F.coalesce("df", F.lit(0)), F.col("word")))
     probes = each.where(F.col("df").isNotNull() & (F.col("__rank") <= F.size("words") - F.ceil(threshold * F.size("words")) + 1))
-    pairs = probes.join(small(postings, rows), "word").groupBy(*key, "ref_id").agg(F.first("words").alias("words"))
+    pairs = probes.join(small(theirs, rows), "word").groupBy(*key, "ref_id").agg(F.first("words").alias("words"))
     found = pairs.join(small(refs.select("ref_id", "ref_words"), rows), "ref_id")
     share = F.size(F.array_intersect("words", "ref_words")) / F.greatest(F.lit(1), F.size("words"))
     return found.select(*key, "ref_id", share.alias("overlap")).where(F.col("overlap") >= threshold)
@@ -76,12 +89,9 @@ def best_matches(texts: DataFrame, refs: DataFrame, key: list[str], threshold: f
     (key, kind, ref_id, score, fragments): kind is exact, near_jaccard or
     containment; equal scores go to the smallest reference id.
     """
-    same = small(refs.groupBy("ref_norm").agg(F.min("ref_id").alias("ref_id")))
-    exact = texts.select(*key, F.col("norm").alias("ref_norm")).join(same, "ref_norm").select(
-        *key, "ref_id", F.lit("exact").alias("kind"), F.lit(2.0).alias("__by"), F.lit(1.0).alias("score"), F.array().cast("array<string>").alias("fragments")
-    )
     is_short = F.size("words") < n
     grams = shingle_matches(texts, refs, key)
+    exact = grams.where("same").select(*key, "ref_id", F.lit("exact").alias("kind"), F.lit(2.0).alias("__by"), F.lit(1.0).alias("score"), F.array().cast("array<string>").alias("fragments"))
     words = word_matches(texts.select(*key, "words").where(is_short), refs, key, threshold)
     long_pairs = grams.where(F.col("n_words") >= n).select(*key, "ref_id", "jaccard", "containment", "fragments")
     # a short text's containment is its word overlap; a pair that shares the shingle shares all its words
@@ -115,35 +125,45 @@ def similarity_histogram(matches: DataFrame, score: str = "score") -> DataFrame:
 
 def reference_containment(df: DataFrame, refs: DataFrame, id_col: str, text_col: str, threshold: float = THRESHOLD) -> DataFrame:
     """Pairs where a text holds at least ``threshold`` of a reference's shingles (an extension)."""
-    postings = small(refs.select("ref_id", F.size("ref_shingles").alias("n_ref"), F.explode("ref_shingles").alias("shingle")))
-    own = prepared(df.select(id_col, text_col), text_col).select(id_col, F.explode_outer("shingles").alias("shingle"))
-    counted = own.join(postings, "shingle").groupBy(id_col, "ref_id").agg(F.count("*").alias("n"), F.first("n_ref").alias("n_ref"))
+    theirs = small(postings(refs).select("ref_id", "n_ref", "gram"))
+    own = prepared(df.select(id_col, text_col), text_col).select(id_col, F.explode_outer("grams").alias("gram"))
+    counted = own.join(theirs, "gram").groupBy(id_col, "ref_id").agg(F.count("*").alias("n"), F.first("n_ref").alias("n_ref"))
     return counted.select(id_col, "ref_id", (F.col("n") / F.col("n_ref")).alias("share")).where(F.col("share") >= threshold)
 
 
-def hamming_pairs(df: DataFrame, id_col: str, hash_col: str, radius: int = 6) -> DataFrame:
-    """(a, b, distance) of all pairs a < b within ``radius`` bits of 64.
+def _masks(radius: int, more: int) -> list[int]:
+    """Bit masks of ``more`` of radius + more bands of 64 bits, for every choice of bands."""
+    n = radius + more
+    band = [((1 << (i + 1) * 64 // n) - 1) ^ ((1 << i * 64 // n) - 1) for i in range(n)]
+    signed = lambda m: m - (1 << 64) if m >> 63 else m
+    return [signed(sum(some)) for some in itertools.combinations(band, more)]
+
+
+def hamming_links(df: DataFrame, id_col: str, hash_col: str, radius: int = 6, more: int | None = None) -> DataFrame:
+    """(a, b, distance) of the classes of equal hashes that are within ``radius`` bits of 64.
 
-    Of radius + 1 bands of bits two such hashes agree in one, so an equi-join on
-    bands meets every pair; each is kept in the first band it agrees in.
-    Equal hashes are collapsed first and expanded at the end. Bands select well
-    for small radii only.
+    A class is named by its smallest id; copies are not expanded into pairs, see
+    ``hamming_classes`` for who belongs to whom. Two such hashes agree in
+    ``more`` of radius + more bands of bits, so an equi-join on every choice of
+    that many bands meets every pair; each is kept in the first choice it agrees
+    in. With more bands a key has more bits, but there are more keys: unless
+    given, ``more`` is the least with keys of as many bits as there are classes.
     """
-    bands = radius + 1
-    cuts = [(i * 64 // bands, (i + 1) * 64 // bands) for i in range(bands)]
-    mask = lambda lo, hi: F.lit((1 << (hi - lo)) - 1 if hi - lo < 64 else -1)
-    part = [F.shiftrightunsigned(F.col(hash_col), lo).bitwiseAND(mask(lo, hi)) for lo, hi in cuts]
-    points = df.select(F.col(hash_col)).distinct()
-    filed = points.select(F.col(hash_col).alias("h"), F.posexplode(F.array(*part)).alias("band", "bits"))
+    points = hamming_classes(df, id_col, hash_col).groupBy("h").agg(F.min("representative").alias("id"))
+    if more is None:
+        n = points.count()
+        more = next((m for m in range(1, 4) if (1 << 64 * m // (radius + m)) >= n), 4)
+    masks = F.array(*[F.lit(m).cast("long") for m in _masks(radius, more)])
+    filed = points.select("id", "h", F.posexplode(masks).alias("choice", "mask")).withColumn("bits", F.col("h").bitwiseAND(F.col("mask"))).drop("mask")
     left, right = filed.alias("l"), filed.alias("r")
-    met = left.join(right, (F.col("l.band") == F.col("r.band")) & (F.col("l.bits") == F.col("r.bits")) & (F.col("l.h") < F.col("r.h")))
-    near = met.select(F.col("l.h").alias("g"), F.col("r.h").alias("h"), F.col("l.band").alias("band")).where(hamming(F.col("g"), F.col("h")) <= radius)
-    first = F.lit(None).cast("int")
-    for i, (lo, hi) in reversed(list(enumerate(cuts))):
-        agree = F.shiftrightunsigned(F.col("g").bitwiseXOR(F.col("h")), lo).bitwiseAND(mask(lo, hi)) == 0
-        first = F.when(agree, F.lit(i)).otherwise(first)
-    near = near.where(F.col("band") == first).select("g", "h", hamming(F.col("g"), F.col("h")).alias("distance"))
+    met = left.join(right, (F.col("l.choice") == F.col("r.choice")) & (F.col("l.bits") == F.col("r.bits")) & (F.col("l.id") < F.col("r.id")))
+    pairs = met.select(F.col("l.id").alias("a"), F.col("r.id").alias("b"), F.col("l.choice").alias("choice"), F.col("l.h").bitwiseXOR(F.col("r.h")).alias("x"))
+    near = pairs.withColumn("distance", F.bit_count("x")).where(F.col("distance") <= radius)
+    first = F.array_position(F.transform(masks, lambda m: F.col("x").bitwiseAND(m) == 0), F.lit(True)) - 1
+    return near.where(F.col("choice") == first).select("a", "b", "distance")
+
+
+def hamming_classes(df: DataFrame, id_col: str, hash_col: str) -> DataFrame:
+    """(id, h, representative): the smallest id with the same hash, by an aggregation and a join."""
     rows = df.select(F.col(id_col).alias("id"), F.col(hash_col).alias("h"))
-    apart = near.join(rows.select(F.col("id").alias("x"), F.col("h").alias("g")), "g").join(rows.select(F.col("id").alias("y"), "h"), "h")
-    same = rows.alias("p").join(rows.alias("q"), (F.col("p.h") == F.col("q.h")) & (F.col("p.id") < F.col("q.id"))).select(F.col("p.id").alias("a"), F.col("q.id").alias("b"), F.lit(0).alias("distance"))
-    return apart.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "distance").unionByName(same)
+    return rows.join(rows.groupBy("h").agg(F.min("id").alias("representative")), "h").select("id", "h", "representative")

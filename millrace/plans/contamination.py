@@ -48,9 +48,16 @@ def contamination_flag(spark: SparkSession, sf: str) -> DataFrame:
     return _best(spark, sf).select("doc_id", "line_no", "kind", "ref_id", "score", F.array_join("fragments", "|").alias("fragments"))
 
 
-@query(BASE + "SELECT doc_id, line_no, ref_id FROM best WHERE kind = 'exact'")
+#: With every benchmark item, partly in capitals, as a line of a document of its own.
+PLANTED = BASE.replace("FROM documents),\nlines", "FROM documents UNION ALL SELECT -1 - item_id, 'planted', [translate(replace(text, chr(10), ' '), 'abcdefghijklm', 'ABCDEFGHIJKLM') || '!'] FROM benchmark),\nlines")
+
+
+@query(PLANTED + "SELECT doc_id, line_no, ref_id FROM best WHERE kind = 'exact'")
 def contamination_exact(spark: SparkSession, sf: str) -> DataFrame:
-    return _best(spark, sf).where("kind = 'exact'").select("doc_id", "line_no", "ref_id")
+    items = table(spark, sf, "benchmark").select((-1 - F.col("item_id")).alias("doc_id"), F.concat(F.translate(F.replace("text", F.lit("\n"), F.lit(" ")), "abcdefghijklm", "ABCDEFGHIJKLM"), F.lit("!")).alias("text"), F.lit("planted").alias("source"))
+    docs = table(spark, sf, "documents").select("doc_id", "text", "source").unionByName(items)
+    found = S.best_matches(S.prepared(S.lines(docs, keep=("source",)), "line"), _refs(spark, sf), KEY)
+    return found.where("kind = 'exact'").select("doc_id", "line_no", "ref_id")
 
 
 @query(BASE + "SELECT doc_id, source, n_chars FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM best WHERE score >= 0.5 AND kind != 'containment')")
