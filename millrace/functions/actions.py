@@ -251,72 +251,54 @@ def from_python(code: str | None, width: int, height: int, space: str = "pixel")
     return None
 
 
-_PHRASES: list[tuple[re.Pattern, Callable]] = []
+def _less(label: str, said: str) -> str:
+    return re.sub(label, "", said, count=1, flags=re.I)
 
 
-def _phrase(pattern: str):
-    def add(read):
-        _PHRASES.append((re.compile(pattern, re.I | re.S), read))
-        return read
+def _keys(said: str) -> dict | None:
+    """Several keys joined by plus signs or listed in parentheses are a hotkey, one is a press."""
+    listed = said.strip("()").split(",") if re.fullmatch(fixed.PHRASE_KEYS, said, re.A) else said.split("+") if "+" in said else None
+    if listed is not None:
+        return action("hotkey", keys=[k.strip() for k in listed if k.strip()])
+    return action("press", key=_less(fixed.PHRASE_KEY_LABEL, said)) if said else None
 
-    return add
-
-
-@_phrase(r"(click|double[- ]?click|right[- ]?click)\s*\(\s*(\d+)\s*,\s*(\d+)\s*\)")
-def _(m):
-    kind = m[1].lower()
-    return action("double_click" if "double" in kind else "right_click" if "right" in kind else "click", [(int(m[2]), int(m[3]))])
-
-
-@_phrase(r"type(.*)")
-def _(m):
-    return action("type", text=re.sub(r"^text\s*:\s*", "", m[1].strip().lstrip(">").strip(), count=1, flags=re.I))
-
-
-@_phrase(r"(?:press|hotkey|key)\S*(?:\s+(.*))?")
-def _(m):
-    said = (m[1] or "").strip()
-    if re.fullmatch(r"\(\s*\w+(?:\s*,\s*\w+)+\s*\)", said, re.A):
-        return action("hotkey", keys=[k.strip() for k in said.strip("()").split(",") if k.strip()])
-    if "+" in said:
-        return action("hotkey", keys=[k.strip() for k in said.split("+") if k.strip()])
-    return action("press", key=re.sub(r"^key\s+", "", said, count=1, flags=re.I)) if said else None
 
+def _scrolled(said: str, whole: str) -> dict:
+    if count := re.fullmatch(fixed.PHRASE_COUNT, said):
+        return action("scroll", clicks=int(count[1]))
+    place = re.search(fixed.PHRASE_PLACE, whole)
+    way = (said.lower().split() or ["down"])[0]
+    return action("scroll", [tuple(map(int, place.groups()))] if place else [], clicks=fixed.PHRASE_SCROLL.get(way, fixed.PHRASE_SCROLL_ELSE))
 
-@_phrase(r"finish\S*(?:\s+(.*))?")
-def _(m):
-    return action("finish", status="failure" if "fail" in (m[1] or "").lower() else "success")
 
+def _clicked(how: str, x: str, y: str) -> dict:
+    verb = next((v for part, v in (("double", "double_click"), ("right", "right_click")) if part in how.lower()), "click")
+    return action(verb, [(int(x), int(y))])
 
-@_phrase(r"wait\S*(?:\s+(.*))?")
-def _(m):
-    seconds = re.search(r"\d+(?:\.\d+)?", m[1] or "")
-    return action("wait", **({"seconds": float(seconds[0])} if seconds else {}))
 
+def _waited(said: str) -> dict:
+    seconds = re.search(fixed.PHRASE_NUMBER, said)
+    return action("wait", seconds=float(seconds[0])) if seconds else action("wait")
 
-@_phrase(r"scroll\S*(?:\s+(.*))?")
-def _(m):
-    said = (m[1] or "").strip()
-    if count := re.fullmatch(r"\(?(-?\d+)\)?", said):
-        return action("scroll", clicks=int(count[1]))
-    way = said.split()[0].lower() if said else "down"
-    at = re.search(r"\(\s*(\d+)\s*,\s*(\d+)\s*\)", m[0])
-    return action("scroll", [(int(at[1]), int(at[2]))] if at else [], clicks={"up": -3, "down": 3}.get(way, 2))
 
-
-@_phrase(r"drag\s+from\s*\(\s*(-?\d+)\s*,\s*(-?\d+)\s*\)\s+to\s*\(\s*(-?\d+)\s*,\s*(-?\d+)\s*\)")
-def _(m):
-    x1, y1, x2, y2 = map(int, m.groups())
-    return action("drag", [(x1, y1), (x2, y2)])
+#: Reader of each notation: from its captured parts and the whole phrase.
+_READ: dict[str, Callable] = {
+    "click": lambda whole, *place: _clicked(*place),
+    "type": lambda whole, said: action("type", text=_less(fixed.PHRASE_TEXT_LABEL, said.lstrip(">").strip())),
+    "press": lambda whole, said: _keys(said),
+    "finish": lambda whole, said: action("finish", status="failure" if "fail" in said.lower() else "success"),
+    "wait": lambda whole, said: _waited(said),
+    "scroll": lambda whole, said: _scrolled(said, whole),
+    "drag": lambda whole, *ends: action("drag", [tuple(map(int, ends[:2])), tuple(map(int, ends[2:]))]),
+}
+_PHRASES = {name: re.compile(pattern, re.I | re.S) for name, pattern in fixed.PHRASES.items()}
 
 
 def from_phrase(text: str | None) -> dict | None:
     """English-like action strings in pixels, such as ``drag from (1, 2) to (3, 4)``."""
     whole = (text or "").strip()
-    for pattern, read in _PHRASES:
-        if m := pattern.fullmatch(whole):
-            return read(m)
-    return None
+    found = next(((name, m) for name, p in _PHRASES.items() if (m := p.fullmatch(whole))), None)
+    return found and _READ[found[0]](whole, *((part or "").strip() for part in found[1].groups()))
 
 
 def from_log(kind: str | None, params: dict | None) -> dict | None:
