@@ -185,3 +185,61 @@ SCHEMA_REASONS = (
     "finish_without_evidence",
 )
 RELEASE_REASONS = ("train_validation_group_overlap", "motif_coverage_floor_unmet", "auxiliary_loss_share_exceeded")
+
+# --- Fixed values: the notation of English-like action strings ---
+
+PHRASES = {
+    "click": r"(click|double[- ]?click|right[- ]?click)\s*\(\s*(\d+)\s*,\s*(\d+)\s*\)",
+    "type": r"type(.*)",
+    "press": r"(?:press|hotkey|key)\S*(?:\s+(.*))?",
+    "finish": r"finish\S*(?:\s+(.*))?",
+    "wait": r"wait\S*(?:\s+(.*))?",
+    "scroll": r"scroll\S*(?:\s+(.*))?",
+    "drag": r"drag\s+from\s*\(\s*(-?\d+)\s*,\s*(-?\d+)\s*\)\s+to\s*\(\s*(-?\d+)\s*,\s*(-?\d+)\s*\)",
+}
+#: Within them: the label before a text or a key, several keys in parentheses, a place, a count of clicks, a number.
+PHRASE_TEXT_LABEL, PHRASE_KEY_LABEL = r"^text\s*:\s*", r"^key\s+"
+PHRASE_KEYS, PHRASE_PLACE, PHRASE_COUNT, PHRASE_NUMBER = r"\(\s*\w+(?:\s*,\s*\w+)+\s*\)", r"\(\s*(\d+)\s*,\s*(\d+)\s*\)", r"\(?(-?\d+)\)?", r"\d+(?:\.\d+)?"
+#: Clicks of a scroll by its direction; other words are a small step down.
+PHRASE_SCROLL, PHRASE_SCROLL_ELSE = {"up": -3, "down": 3}, 2
+
+# --- Fixed values: speakers of tool conversations ---
+
+SPEAKERS = {"system": ("system", "gizmo"), "user": ("human", "function", "tool")}
+TOOL_SPEAKERS, TOOL_RESPONSE = ("function", "tool"), "Tool response: "
+
+# --- Fixed values: plans attached to actions ---
+
+PLAN_SHARES = {"recovery": 0.40, "verification": 0.25, "planning": 0.20, "wait": 0.15}
+PLAN_TEMPLATES = {
+    "recovery": (
+        "Plan: The previous action produced no visible change, so a different control is used instead.",
+        "Plan: The earlier attempt did not reach the target state; this action takes the alternate path.",
+        "Plan: The screen is unchanged after the last step, indicating the control was ineffective; switching approach.",
+    ),
+    "verification": (
+        "Plan: The expected result is now visible, so the work is confirmed before finishing.",
+        "Plan: This check confirms the saved output matches the requested name and location.",
+        "Plan: The dialog closed and the requested state is present, which verifies completion.",
+    ),
+    "planning": (
+        "Plan: This intermediate step is required before the requested final operation can succeed.",
+        "Plan: The task spans two applications, so the content is prepared here before switching.",
+        "Plan: Among the visible controls, this one matches the required operation for the next stage.",
+    ),
+    "wait": (
+        "Plan: The interface is still loading, so the correct move is to wait rather than click.",
+        "Plan: A progress indicator is active; acting now would target a moving control.",
+        "Plan: The operation needs time to finish before its result can be verified.",
+    ),
+}
+
+# --- Fixed values: module paths and applications ---
+
+ALIGNER_WORDS = ("merger", "projector", "aligner")
+VISION_SEGMENTS = ("visual", "vision_tower", "vision_model", "vision_encoder", "vision", "vit")
+VISION_HEADS = ("visual", "vision", "patch_embed")
+PRIORITY_APPS = (
+    "libreoffice", "gimp", "inkscape", "blender", "freecad", "audacity", "darktable", "gnu octave", "gnucash", "gnumeric",
+    "intellij idea", "eclipse", "ardour", "fontforge", "grassgis", "calibre", "joplin", "anki",
+)

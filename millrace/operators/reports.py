@@ -65,12 +65,15 @@ def mean_of_truthy(value: Column) -> Column:
     return F.coalesce(F.avg(F.nullif(value, F.lit(0))), F.lit(0.0))
 
 
-def loss_tokens(df: DataFrame, role: str, text: str, sample: str, source: str, task_type: str, loss: str | None = None, images: str | None = None) -> DataFrame:
-    """(axis, key, samples, input_tokens, image_tokens, loss_tokens, share) by source, by task type and in all."""
+def loss_tokens(df: DataFrame, role: str, text: str, sample: str, source: str, task_type: str, loss: str | None = None, images: str | None = None, count: str | None = None) -> DataFrame:
+    """(axis, key, samples, input_tokens, image_tokens, loss_tokens, share) by source, by task type and in all.
+
+    Tokens are estimated from the text, or those of the column ``count``.
+    """
     learned = F.col(role) == "assistant"
     if loss is not None:
         learned = learned & F.coalesce(F.col(loss), F.lit(True))
-    n = tokens(F.col(text))
+    n = tokens(F.col(text)) if count is None else F.col(count)
     per = df.groupBy(sample, source, task_type).agg(
         F.sum(F.when(learned, 0).otherwise(n)).alias("i"), F.sum(F.when(learned, n).otherwise(0)).alias("l"), (F.lit(0) if images is None else F.max(images)).alias("m")
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import fixed
 from millrace.functions.text import strip
-from millrace.operators.common import small
+from millrace.operators.common import ranked, small
 
 
 def first_failure(checks: dict[str, Column]) -> Column:
@@ -110,9 +110,10 @@ def instruction_ok(roles: Column, assistant: Column, quality: Column | None = No
 
 def failure_counts(df: DataFrame, reason: str, example: str, examples: int = 3) -> DataFrame:
     """(reason, n, examples): the smallest few ids of each reason, found without gathering the rest."""
-    ids = df.where(F.col(reason).isNotNull()).groupBy(reason, example).agg(F.count("*").alias("n"))
-    first = ids.groupBy(reason).agg(F.sum("n").cast("long").alias("n"), F.slice(F.array_sort(F.collect_set(F.when(F.lit(True), F.col(example)))), 1, examples).alias("examples")) if examples else ids
-    return first
+    some = df.where(F.col(reason).isNotNull())
+    counts = some.groupBy(reason).agg(F.count("*").alias("n"))
+    first = some.select(reason, example).distinct().withColumn("__at", ranked([reason], F.asc(example))).where(F.col("__at") <= examples)
+    return counts.join(first.groupBy(reason).agg(F.array_sort(F.collect_list(example)).alias("examples")), reason, "left")
 
 
 def fatal(df: DataFrame, reason: str, n: str, total: Column, tolerances: dict[str, float] | None = None) -> DataFrame:

@@ -170,10 +170,13 @@ def test_hamming_join_equals_all_pairs(spark):
     h = [draw.getrandbits(63) - (1 << 62) for _ in range(60)]
     h += [x ^ (1 << draw.randrange(63)) ^ (1 << draw.randrange(63)) for x in h[:40]] + h[:5]
     rows = fixed_rows(spark, "id long, h long", *enumerate(h))
-    for radius in (0, 3, 6):
-        got = sorted((r.a, r.b, r.distance) for r in S.hamming_pairs(rows, "id", "h", radius).collect())
-        far = lambda i, j: ((h[i] ^ h[j]) & ((1 << 64) - 1)).bit_count()
-        assert got == [(i, j, far(i, j)) for i in range(len(h)) for j in range(i + 1, len(h)) if far(i, j) <= radius]
+    own = {r.id: r.representative for r in S.hamming_classes(rows, "id", "h").collect()}
+    assert own == {i: h.index(x) for i, x in enumerate(h)}
+    classes = sorted(set(own.values()))
+    far = lambda i, j: ((h[i] ^ h[j]) & ((1 << 64) - 1)).bit_count()
+    for radius, more in ((0, None), (3, None), (6, 1), (6, 2), (6, 3)):
+        got = sorted((r.a, r.b, r.distance) for r in S.hamming_links(rows, "id", "h", radius, more).collect())
+        assert got == [(i, j, far(i, j)) for i in classes for j in classes if i < j and far(i, j) <= radius]
 
 
 def test_leaders_differ_from_components(spark):
