@@ -7,11 +7,15 @@ earlier. Three steps make that a distributed job:
    the ``GRAM``-byte strings inside it, which depends on its content alone, so
    equal windows anywhere share a key. Neighbouring windows that take their key
    from one place, the leftmost of equal ones, form a fragment; so two equal
-   windows are never in one fragment. Keys that occur once cannot repeat; equal fragments are collapsed
-   onto their earliest occurrence (before the shuffle where one task holds
-   both), the later ones being covered whole.
-2. *Expand.* The distinct fragments whose keys still meet are dealt into shards
-   by key. Per shard the Burrows-Wheeler transform of all fragments is expanded
+   windows are never in one fragment. Keys that occur once cannot repeat.
+   Fragments with equal hashes are taken for copies of the earliest, their
+   leader: only leaders are compared with other fragments of their key, and a
+   copy is compared with its leader (within the task where it holds both, so
+   that a group of copies is thinned out before the shuffle).
+2. *Expand.* Fragments that meet are dealt into sets: leaders by their key,
+   copies with the part of a document that holds their leaders, joined to runs
+   and a bounded number of copies at a time. Per set the Burrows-Wheeler
+   transform of all its strings is expanded
    backwards, breadth first: from the intervals of all strings of 8 bytes,
    every interval is extended to the left by each byte before it, and the right
    end of a new interval gets the current length as its common prefix unless it
@@ -20,8 +24,10 @@ earlier. Three steps make that a distributed job:
    ``length`` bytes, and of such a group all but the earliest are covered.
 3. *Remove.* The covered spans of a document are united and cut out.
 
-Matches never cross documents, since windows do not. Whatever a shard finds is
-a true repeat, and by the key every repeat is found in one shard.
+Matches never cross documents, since windows do not. Every span comes from an
+expansion, which compares bytes: whatever is removed is a true repeat. By the
+key every repeat meets an equal string, unless two different fragments agree in
+all of 116 hash bits.
 """
 
 from __future__ import annotations
@@ -40,9 +46,13 @@ from millrace.llm.secretscan import _blocks, column_bytes
 
 LENGTH, GRAM = 100, 32
 #: Bytes of fragments in a shard, about.
-SHARD = 1 << 20
+SHARD = 1 << 19
 #: Fragments of one key beyond which its windows are dealt by their own hash.
 HOT = 20_000
+#: Copies that are compared with their leader together, about, and bytes of the leading document.
+COPIES, REACH = 16, 1 << 14
+#: Longest ``length``.
+MOST = 2048
 #: Documents without an id take the ids from here on, by a hash of their text.
 _NULL_ID = (1 << 63) - (1 << 60)
 _RANDOM = np.random.default_rng(20240607)
@@ -147,15 +157,67 @@ def listed(doc: np.ndarray, **columns: np.ndarray) -> tuple[np.ndarray, pa.Array
     return ids, pa.ListArray.from_arrays(pa.array(bounds), rows)
 
 
-def collapse(key, print_, doc, start, end):
-    """Order by key, fragment and place; (columns, mask of first occurrences, mask of later ones)."""
-    order = np.lexsort((start, doc, print_, key))
-    cols = [c[order] for c in (key, print_, doc, start, end)]
-    key, print_, doc, start, _ = cols
+def collapse(key, print_, *rest):
+    """Order by key, fragment and place (doc, start); (columns, first occurrence of each row, mask of copies)."""
+    order = np.lexsort((rest[1], rest[0], print_, key))
+    cols = [c[order] for c in (key, print_, *rest)]
+    key, print_, doc, start = cols[:4]
     first = np.concatenate([[True], (key[1:] != key[:-1]) | (print_[1:] != print_[:-1])]) if len(key) else np.zeros(0, bool)
     lead = np.maximum.accumulate(np.where(first, np.arange(len(key)), 0)) if len(key) else np.zeros(0, int)
     later = (doc != doc[lead]) | (start != start[lead])  # a repeated row is not its own copy
-    return cols, first, later
+    return cols, lead, later
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    h = x.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    h ^= h >> np.uint64(32)
+    h *= np.uint64(0xD6E8FEB86659FD93)
+    return h ^ h >> np.uint64(29)
+
+
+def copy_sets(doc: np.ndarray, start: np.ndarray, lead: np.ndarray, later: np.ndarray):
+    """(row, set) of copies and of their leaders: each copy shares a set with its leader.
+
+    A set holds about ``COPIES`` copies of ``REACH`` bytes of a leading document.
+    """
+    copy = np.flatnonzero(later)
+    head = lead[copy]
+    many = -(-np.bincount(head, minlength=len(doc))[head] // COPIES)
+    parts = 1 << np.ceil(np.log2(np.maximum(many, 1))).astype(np.int64)
+    part = (_mixed(doc[copy]) >> np.uint64(20)).astype(np.int64) & (parts - 1)
+    own = _mixed(_mixed(doc[head]).view(np.int64) + (start[head] // REACH)).view(np.int64)
+    to = (_mixed(own + (parts << 32 | part)) >> np.uint64(1)).view(np.int64)
+    order = np.lexsort((to, head))
+    head, to2 = head[order], to[order]
+    new = np.concatenate([[True], (head[1:] != head[:-1]) | (to2[1:] != to2[:-1])]) if len(head) else np.zeros(0, bool)
+    return np.concatenate([copy, head[new]]), np.concatenate([to, to2[new]])
+
+
+def joined_runs(to: np.ndarray, text: np.ndarray, start: np.ndarray, end: np.ndarray):
+    """(set, text, start, end): the spans of one set and text united."""
+    order = np.lexsort((text, to))
+    to, text = to[order], text[order]
+    which = np.cumsum(np.concatenate([[False], (to[1:] != to[:-1]) | (text[1:] != text[:-1])])) if len(to) else to
+    k, s, e = merge_spans(which, start[order], end[order])
+    at = np.searchsorted(which, k)
+    return to[at], text[at], s, e
+
+
+def covered_locally(raw: bytes, to: np.ndarray, text: np.ndarray, doc: np.ndarray, start: np.ndarray, end: np.ndarray, length: int, shard: int):
+    """Covered spans (doc, start, end) within sets whose strings a task holds; ``text`` is the place of each row's text in ``raw``."""
+    to, base, s, e = joined_runs(to, text, start, end)
+    at = np.argsort(text, kind="stable")
+    doc = doc[at][np.searchsorted(text[at], base)]
+    out = [np.zeros((3, 0), np.int64)]
+    held = np.cumsum(e - s)
+    edge = np.append(np.flatnonzero(np.concatenate([[True], to[1:] != to[:-1]])) if len(to) else np.zeros(0, np.int64), len(to))
+    a = 0
+    while a < len(to):
+        b = int(edge[min(len(edge) - 1, np.searchsorted(edge, max(a + 1, np.searchsorted(held, (held[a - 1] if a else 0) + shard))))])
+        parts = [raw[x:y] for x, y in zip((base[a:b] + s[a:b]).tolist(), (base[a:b] + e[a:b]).tolist())]
+        out.append(np.stack(repeated_windows(parts, doc[a:b], s[a:b], length)))
+        a = b
+    return merge_spans(*np.concatenate(out, axis=1))
 
 
 def repeated_windows(parts: list[bytes], doc: np.ndarray, start: np.ndarray, length: int = LENGTH):
@@ -170,40 +232,45 @@ def repeated_windows(parts: list[bytes], doc: np.ndarray, start: np.ndarray, len
         return none, none, none
     text = np.frombuffer(b"\xff".join(parts) + b"\xff" * 9, np.uint8)
     n = int(size.sum()) + len(parts)
-    sa, isa, gram_start = suffix_order(text, n)
+    sa, rank, gram_start = suffix_order(text, n, length)
     before = text[sa - 1]
-    lf = isa[sa - 1]
+    lf = rank[sa - 1]  # the first place of those that begin alike for at least ``length`` bytes
     starts = np.concatenate([[0], np.cumsum(size + 1)[:-1]])
     inner = np.ones(n, bool)  # a fragment's first byte is not extended
     inner[starts] = False
     inner = inner[sa]
+    run = np.cumsum(np.concatenate([[False], (before[1:] != before[:-1]) | ~inner[1:] | ~inner[:-1]]))
     known = np.zeros(n + 1, bool)
     known[gram_start] = True
     known[n] = True
     left = gram_start
     right = np.append(gram_start[1:], n) - 1
     for _ in range(8, length):
-        one = left == right
-        at = left[one]
-        at = lf[at[inner[at]]]
-        at = at[~known[at + 1]]
-        wide_l, wide_r = left[~one], right[~one]
-        if len(wide_l):
-            width = wide_r - wide_l + 1
+        one = run[left] == run[right]  # a single byte comes before: the interval moves as a whole
+        l, r = left[one], right[one]
+        ok = inner[l]
+        wide = r[ok] - l[ok]
+        l = lf[l[ok]]
+        r = l + wide
+        fresh = ~known[r + 1]
+        l, r = l[fresh], r[fresh]
+        many_l, many_r = left[~one], right[~one]
+        if len(many_l):
+            order = np.argsort(many_l)
+            many_l, many_r = many_l[order], many_r[order]
+            width = many_r - many_l + 1
             group = np.repeat(np.arange(len(width)), width)
-            pos = np.arange(len(group)) + np.repeat(wide_l - np.concatenate([[0], np.cumsum(width)[:-1]]), width)
+            pos = np.arange(len(group)) + np.repeat(many_l - np.concatenate([[0], np.cumsum(width)[:-1]]), width)
             use = inner[pos]
             pos, group = pos[use], group[use]
-            to = lf[pos]
-            order = np.argsort(to)
-            to, tag = to[order], (group << 8 | before[pos])[order]
-            cut = np.concatenate([[True], tag[1:] != tag[:-1]]) if len(to) else np.zeros(0, bool)
-            first = np.flatnonzero(cut)
-            l, r = to[first], to[np.append(first[1:], len(to)) - 1] if len(first) else to[first]
-            fresh = ~known[r + 1]
-            left, right = np.concatenate([at, l[fresh]]), np.concatenate([at, r[fresh]])
-        else:
-            left = right = at
+            order = np.argsort(before[pos], kind="stable")  # equal bytes keep the order of their suffixes
+            pos, tag = pos[order], (group << 8 | before[pos])[order]
+            first = np.flatnonzero(np.concatenate([[True], tag[1:] != tag[:-1]])) if len(pos) else pos
+            a = lf[pos[first]]
+            b = a + np.diff(np.append(first, len(pos))) - 1
+            fresh = ~known[b + 1]
+            l, r = np.concatenate([l, a[fresh]]), np.concatenate([r, b[fresh]])
+        left, right = l, r
         known[right + 1] = True
         if not len(left):
             break
@@ -226,8 +293,12 @@ def repeated_windows(parts: list[bytes], doc: np.ndarray, start: np.ndarray, len
     return merge_spans(docs[place >> 40], at, at + length)
 
 
-def suffix_order(text: np.ndarray, n: int, depth: int = 128):
-    """(suffix array, its inverse, starts of the 8-byte intervals), ordered to ``depth`` bytes."""
+def suffix_order(text: np.ndarray, n: int, depth: int):
+    """(suffixes in order, first place of each one's ties, first places of the 8-byte intervals).
+
+    Ordered to ``depth`` bytes at least, by doubling; beyond the end follow
+    separators, the greatest byte.
+    """
     key = np.zeros(n, np.uint64)
     for k in range(8):
         key = key << np.uint64(8) | text[k : k + n]
@@ -241,7 +312,7 @@ def suffix_order(text: np.ndarray, n: int, depth: int = 128):
         at = np.flatnonzero(tied)  # places still in groups; singles keep theirs
         suffix = sa[at]
         nxt = suffix + span
-        pair = rank[suffix] << 32 | np.where(nxt < n, rank[np.minimum(nxt, n - 1)] + 1, 0)
+        pair = rank[suffix] << 32 | np.where(nxt < n, rank[np.minimum(nxt, n - 1)], nxt)
         order = np.argsort(pair)
         suffix, pair = suffix[order], pair[order]
         sa[at] = suffix
@@ -249,28 +320,34 @@ def suffix_order(text: np.ndarray, n: int, depth: int = 128):
         rank[suffix] = at[np.flatnonzero(cut)][np.cumsum(cut) - 1]
         tied[at] = ~(cut & np.append(cut[1:], True))
         span *= 2
-    isa = np.empty(n, np.int64)
-    isa[sa] = np.arange(n)
-    return sa, isa, gram_start
+    return sa, rank, gram_start
 
 
 def repeated_spans(stage: Stage, docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard: int = SHARD, hot: int = HOT, flush: int = 32 << 20) -> list[DataFrame]:
     """Tables (id, spans array<(s, e)>) of covered spans of docs (id long, t binary)."""
+    if not 8 <= length <= MOST:
+        raise ValueError(f"length must be 8 to {MOST}")
+    gram = min(gram, 1 << length.bit_length() - 2)
     buckets = max(16, text_bytes(docs, "t") // (8 << 20))
 
     def cut(batches):
         held: list = []
+        raws: list[bytes] = []
         size = turn = 0
 
         def out():
             nonlocal held, size, turn
-            cols, first, later = collapse(*(np.concatenate([x[k] for x in held]) for k in range(5)))
-            key, print_, doc, start, end = (c[first] for c in cols)
+            cols, lead, later = collapse(*(np.concatenate([x[k] for x in held]) for k in range(6)))
+            key, print_, doc, start, end, text = cols
+            at, to = copy_sets(doc, start, lead, later)
+            raw = b"".join(raws)
+            raws.clear()
+            spans = covered_locally(raw, to, text[at], doc[at], start[at], end[at], length, shard)
+            key, print_, doc, start, end = (c[np.unique(lead)] for c in cols[:5])
             to = (key.view(np.uint64) % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(to, kind="stable")
             edge = np.searchsorted(to[order], np.arange(buckets + 1))
             rows = [(b, 0, _pack(*(c[order[edge[b] : edge[b + 1]]] for c in (key, print_, doc, start, end)))) for b in range(buckets) if edge[b + 1] > edge[b]]
-            spans = merge_spans(*(c[later] for c in cols[2:]))
             if len(spans[0]):
                 rows.append((turn % buckets, 1, _pack(*spans)))
             turn, held, size = turn + 7919, [], 0
@@ -283,7 +360,8 @@ def repeated_spans(stage: Stage, docs: DataFrame, length: int = LENGTH, gram: in
                 text, start, end, key = fragments(data, bounds, length, gram)
                 raw, base = data.tobytes(), bounds[text]
                 mark = np.fromiter((xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in zip((base + start).tolist(), (base + end).tolist())), np.uint64, len(text))
-                held.append((key.view(np.int64), mark.view(np.int64), rows.column(0).to_numpy()[text], start, end))
+                held.append((key.view(np.int64), mark.view(np.int64), rows.column(0).to_numpy()[text], start, end, size + base))
+                raws.append(raw)
                 size += len(data)
                 if size >= flush:
                     yield out()
@@ -299,18 +377,19 @@ def repeated_spans(stage: Stage, docs: DataFrame, length: int = LENGTH, gram: in
         key = cols[0][order]
         same = key[1:] == key[:-1] if len(key) else np.zeros(0, bool)
         cols = cols[:, order[np.concatenate([[False], same]) | np.concatenate([same, [False]])]] if len(key) else cols
-        cols, first, later = collapse(*cols)
-        spans.append(np.stack([c[later] for c in cols[2:]]))
+        cols, lead, later = collapse(*cols)
         doc, start, end = merge_spans(*np.concatenate(spans, axis=1))
-        key, _, fdoc, fstart, fend = (c[first] for c in cols)
+        at, to = copy_sets(cols[2], cols[3], lead, later)
+        key, _, fdoc, fstart, fend = (c[np.unique(lead)] for c in cols)
         _, where, count = np.unique(key, return_inverse=True, return_counts=True)
         mixed = count[where] > 1
         kind = np.where(count[where] > hot, 2, 1)
-        rows = [(doc, start, end, np.zeros(len(doc), np.int64), 0)]
+        rows = [(doc, start, end, np.zeros(len(doc), np.int64), 0), (*(c[at] for c in cols[2:]), to, 3)]
         rows += [(fdoc[use], fstart[use], fend[use], key[use], k) for k in (1, 2) for use in [mixed & (kind == k)]]
         out = []
         for i, s, e, x, k in rows:
-            work = e - s if k < 2 else (e - s - length + 1) * length
+            windows = e - s - length + 1
+            work = windows * length if k == 2 else windows if k == 3 else e - s
             to = _spread(i, buckets)
             order = np.argsort(to, kind="stable")
             edge = np.searchsorted(to[order], np.arange(buckets + 1))
@@ -319,11 +398,17 @@ def repeated_spans(stage: Stage, docs: DataFrame, length: int = LENGTH, gram: in
                 out.append((t, k, int(work[at].sum()), _pack(i[at], s[at], e[at], x[at])))
         return pa.table([pa.array([r[c] for r in out], t) for c, t in enumerate((pa.int64(), pa.int32(), pa.int64(), pa.binary()))], names=["target", "kind", "work", "blob"])
 
+    def read(table, kind):
+        found = [_unpack(b, 4) for b in table.filter(pa.array(table["kind"].to_numpy() == kind))["blob"].to_pylist()]
+        return [np.concatenate([f[c] for f in found]) if found else np.zeros(0, np.int64) for c in range(4)]
+
     def unite(table):
         parts = []
         for k in (0, 1, 2):
-            found = [_unpack(b, 4) for b in table.filter(pa.array(table["kind"].to_numpy() == k))["blob"].to_pylist()]
-            i, s, e, x = (np.concatenate([f[c] for f in found]) if found else np.zeros(0, np.int64) for c in range(4))
+            i, s, e, x = read(table, k)
+            if k == 1:  # runs of copies go the way of leaders
+                to, text, a, b = joined_runs(*(read(table, 3)[c] for c in (3, 0, 1, 2)))
+                i, s, e, x = (np.concatenate(pair) for pair in ((i, text), (s, a), (e, b), (x, to)))
             ids, spans = listed(i, s=s, e=e, key=x)
             parts.append(pa.table({"id": ids, "kind": np.full(len(ids), k, np.int32), "spans": spans}))
         return pa.concat_tables(parts)
@@ -386,7 +471,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     document with the smallest id stays. A null text is empty. Null ids rank
     after all others, in the order of a hash of their text. Rows that repeat an
     id, or a text without an id, are one document (they should repeat the text
-    too: spans are united over them). Ids of 2^63 - 2^60 and more are taken. Texts shorter than ``length`` lose nothing. Other columns are
+    too: spans are united over them). Ids of 2^63 - 2^60
+    and more are taken. ``length`` is 8 to 2048. Texts shorter than ``length`` lose nothing. Other columns are
     ignored; an empty table gives no rows.
     """
     spark = docs.sparkSession

@@ -15,15 +15,43 @@ def corpus():
     return [(i * 3, d) for i, d in enumerate(docs)]
 
 
-@pytest.mark.parametrize("hot,shard", [(20_000, 1 << 20), (2, 500)])
-def test_equals_brute_force(spark, hot, shard):
+@pytest.mark.parametrize("hot,shard,length", [(20_000, 1 << 20, 100), (2, 500, 100), (2, 500, 8), (20_000, 1 << 20, 40), (20_000, 1000, 130), (2, 1 << 20, 200), (20_000, 1 << 20, 300)])
+def test_equals_brute_force(spark, hot, shard, length):
     rows = corpus()
     df = spark.createDataFrame([(i, t.decode()) for i, t in rows], "doc_id long, text string").repartition(5)
-    want = suffix.brute_force(rows)
-    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix.digest(suffix.remove_repeats(df, hot=hot, shard=shard)).collect()}
+    want = suffix.brute_force(rows, length)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix.digest(suffix.remove_repeats(df, length, hot=hot, shard=shard)).collect()}
     assert got == want
 
 
+@pytest.mark.parametrize("parts", [1, 7])
+def test_many_copies_equal_brute_force(spark, parts, monkeypatch):
+    rng = np.random.default_rng(3)
+    text = lambda n: bytes(rng.integers(97, 117, n).astype(np.uint8))
+    base, line = text(900), text(130)
+    rows = [(i, base if i % 3 else base[: 300 + i] + line + text(40)) for i in range(90)]
+    df = spark.createDataFrame([(i, t.decode()) for i, t in rows], "doc_id long, text string").repartition(parts)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix.digest(suffix.remove_repeats(df)).collect()}
+    assert got == suffix.brute_force(rows)
+
+
+def test_a_copy_is_covered_by_comparison_only():
+    """Fragments that agree in their hashes but not in their bytes lose nothing."""
+    a, b = (bytes(np.random.default_rng(k).integers(97, 117, 170).astype(np.uint8)) for k in (1, 2))
+    z = lambda *v: np.array(v, np.int64)
+    cols, lead, later = suffix.collapse(z(1, 1, 1), z(2, 2, 2), z(10, 20, 30), z(0, 0, 0), z(170, 170, 170), z(0, 170, 340))
+    at, to = suffix.copy_sets(cols[2], cols[3], lead, later)
+    assert later.sum() == 2 and len(set(to.tolist())) == 1
+    spans = suffix.covered_locally(a + b + a, to, cols[5][at], cols[2][at], cols[3][at], cols[4][at], 100, 1 << 20)
+    assert [x.tolist() for x in spans] == [[30], [0], [170]]
+
+
+@pytest.mark.parametrize("length", [7, 2049])
+def test_lengths_beyond_the_bounds_are_refused(odd_docs, length):
+    with pytest.raises(ValueError):
+        suffix.remove_repeats(odd_docs, length)
+
+
 def test_short_strings_equal_brute_force(spark):
     rng = np.random.default_rng(2)
     rows = [(i, bytes(rng.integers(97, 100, int(rng.integers(0, 400))).astype(np.uint8))) for i in range(60)]
