@@ -18,7 +18,11 @@ RENDERED = (
 )
 
 
-@query()
+@query("""
+SELECT * FROM (VALUES (CAST(1 AS BIGINT), 'click', CAST(1 AS BIGINT), true, 'click', 'click'), (2, 'drag', 2, true, 'drag', 'drag'), (3, 'scroll', 1, true, 'scroll(clicks=-3)', 'scroll'),
+  (4, 'type', 0, true, 'type(text="a, \\"b\\" = (c)")', 'type'), (5, 'hotkey', 0, true, 'hotkey("ctrl", "s")', 'hotkey'), (6, 'wait', 0, true, 'wait(seconds=2.0)', 'wait'),
+  (7, 'finish', 0, true, 'finish(status="success")', 'finish'), (8, NULL, NULL, false, 'previous_action', 'click'), (9, NULL, NULL, false, 'previous_action', 'jump'), (10, 'press', 0, true, 'press(key="enter")', 'press')) v(id, verb, points, same, history, head)
+""")
 def action_parse(spark: SparkSession, sf: str) -> DataFrame:
     rows = fixed_rows(spark, "id long, text string", *RENDERED).withColumn("a", A.parse_action(F.col("text")))
     return rows.select("id", "a.verb", F.size("a.points").cast("long").alias("points"), F.col("a.rendered").eqNullSafe(F.col("text")).alias("same"), A.history_text(F.col("text")).alias("history"), A.verb_of(F.col("text")).alias("head"))

@@ -229,6 +229,8 @@ def micro_actions(spark: SparkSession, sf: str) -> DataFrame:
     return J.micro_actions(rows, "task", "idx", "kind", "x", "y", "t").select("task", "idx", "kind", "start_x", "start_y")
 
 
-@query()
+@query(f"""
+WITH s AS (SELECT DISTINCT source FROM documents) SELECT source, CASE WHEN {_u('source')} < 0.5 THEN 'a' WHEN {_u('source')} < 1.0 THEN 'b' ELSE 'a' END AS half FROM s
+""")
 def seeded_shards(spark: SparkSession, sf: str) -> DataFrame:
     return J.seeded_order(table(spark, sf, "documents").select("source").distinct(), "source", "7").select("source", choice(F.col("source"), {"a": 0.5, "b": 0.5}).alias("half"))

@@ -1,9 +1,9 @@
 """Assembly of trajectories whose members come in any order.
 
 A manifest names the members it refers to; once all are there the trajectory
-is emitted and later members are dropped. State is bounded: a key that holds
-more than ``limit`` bytes, or waits longer than ``patience``, is given up and
-counted as evicted.
+is emitted and later members are dropped. What waits is bounded as a whole:
+folders are dealt into lanes, each lane holds its share of the limit, and when
+it is full its oldest folders are given up first and counted as evicted.
 """
 
 from __future__ import annotations
@@ -35,43 +35,73 @@ def assembled(df: DataFrame) -> DataFrame:
     return by.select("folder", status.alias("status"), F.size("have").cast("long").alias("members"), size.alias("bytes"))
 
 
-STATE = "done boolean, refs array<string>, names array<string>, sizes array<bigint>"
+STATE = "folders array<string>, refs array<array<string>>, names array<array<string>>, sizes array<array<bigint>>, closed array<string>"
 
 
-def assemble_stream(members: DataFrame, limit: int = 600 << 20, patience_ms: int = 0) -> DataFrame:
+class Lane:
+    """Open folders in the order of their first member, and the last closed ones."""
+
+    def __init__(self, state: tuple | None = None):
+        folders, refs, names, sizes, closed = state or ([], [], [], [], [])
+        self.refs = {f: list(r) for f, r in zip(folders, refs)}
+        self.have = {f: dict(zip(n, map(int, z))) for f, n, z in zip(folders, names, sizes)}
+        self.closed = dict.fromkeys(closed)
+
+    def state(self) -> tuple:
+        return list(self.have), [self.refs[f] for f in self.have], [list(h) for h in self.have.values()], [list(h.values()) for h in self.have.values()], list(self.closed)
+
+    def add(self, folder: str, name: str, named, size: int) -> None:
+        if folder in self.closed:
+            return
+        have, refs = self.have.setdefault(folder, {}), self.refs.setdefault(folder, [])
+        if named is None:
+            have[name] = int(size)
+        elif not refs:
+            refs += dict.fromkeys(named)
+
+    def close(self, folder: str, status: str, remember: int) -> tuple:
+        have = self.have.pop(folder)
+        del self.refs[folder]
+        self.closed[folder] = None
+        while len(self.closed) > remember:
+            del self.closed[next(iter(self.closed))]
+        return folder, status, len(have), sum(have.values())
+
+    def settle(self, limit: int, remember: int, over: bool = False) -> list[tuple]:
+        """Close what is complete; then, oldest first, what exceeds the limit, or all when time is over."""
+        whole = [f for f, have in self.have.items() if self.refs[f] and all(r in have or f"{f}/{r}" in have for r in self.refs[f])]
+        out = [self.close(f, "complete", remember) for f in whole]
+        held = sum(sum(h.values()) for h in self.have.values())
+        while self.have and (over or held > limit):
+            out.append(self.close(next(iter(self.have)), "evicted", remember))
+            held -= out[-1][3]
+        return out
+
+
+def assemble_stream(members: DataFrame, limit: int = 600 << 20, lanes: int = 64, remember: int = 10_000, patience_ms: int = 0) -> DataFrame:
     """Rows of ``OUTPUT`` as trajectories complete or are given up.
 
-    ``patience_ms`` 0 waits without end. A closed folder keeps one flag in
-    state, by which late members are known.
+    All lanes together never hold more than ``limit`` bytes of members after a
+    batch. A lane remembers its last ``remember`` closed folders, by which late
+    members are known; a member that comes later still opens its folder anew.
+    With ``patience_ms`` a lane that hears nothing for so long gives up what it
+    holds.
     """
 
-    def close(folder: str, status: str, have: dict, state: GroupState) -> pd.DataFrame:
-        state.update((True, [], [], []))
-        return pd.DataFrame([(folder, status, len(have), sum(have.values()))], columns=["folder", "status", "members", "bytes"])
-
     def advance(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        done, refs, names, sizes = state.get if state.exists else (False, [], [], [])
-        have = dict(zip(names, map(int, sizes)))
-        if done:
-            return
-        if state.hasTimedOut:
-            yield close(key[0], "evicted", have, state)
-            return
-        refs = list(refs)
-        for part in parts:
-            for name, named, size in zip(part["name"], part["refs"], part["bytes"]):
-                if named is None:
-                    have[name] = int(size)
-                elif not refs:
-                    refs = list(dict.fromkeys(named))
-        if refs and all(r in have or f"{key[0]}/{r}" in have for r in refs):
-            yield close(key[0], "complete", have, state)
-        elif sum(have.values()) > limit:
-            yield close(key[0], "evicted", have, state)
-        else:
-            state.update((False, refs, list(have), list(have.values())))
-            if patience_ms:
-                state.setTimeoutDuration(patience_ms)
+        lane = Lane(state.get if state.exists else None)
+        over = state.hasTimedOut
+        if not over:
+            for part in parts:
+                for row in zip(part["folder"], part["name"], part["refs"], part["bytes"]):
+                    lane.add(*row)
+        out = lane.settle(limit // lanes, remember, over)
+        state.update(lane.state())
+        if patience_ms and not over:
+            state.setTimeoutDuration(patience_ms)
+        if out:
+            yield pd.DataFrame(out, columns=["folder", "status", "members", "bytes"])
 
     timeout = GroupStateTimeout.ProcessingTimeTimeout if patience_ms else GroupStateTimeout.NoTimeout
-    return members.select("folder", "name", "refs", "bytes").groupBy("folder").applyInPandasWithState(advance, OUTPUT, STATE, "append", timeout)
+    dealt = members.select(F.pmod(F.xxhash64("folder"), F.lit(lanes)).alias("lane"), "folder", "name", "refs", "bytes")
+    return dealt.groupBy("lane").applyInPandasWithState(advance, OUTPUT, STATE, "append", timeout)
