@@ -9,9 +9,9 @@ compares a sample of the queries with brute force and widens all beams until
 it passes. The sample grows until it holds enough links of a vector with
 another; where a search has fewer, it grows to all queries, so that recall is
 measured on all there are. The graph is searched at every size: the first beam
-is a quarter of a small shard, and only a beam as wide as its shard (from
-``LEAST_BEAM`` vectors down the first one) compares with all. Found pairs are
-verified in double precision, and the links are united into components.
+is at most a quarter of the shard (``LEAST_BEAM`` at least), and only where
+widening asks for an eighth or more are those queries compared with all. Found
+pairs are verified in double precision, and the links are united into components.
 """
 
 from __future__ import annotations
@@ -210,11 +210,11 @@ def close_rows(graph: Graph, q: np.ndarray, least: float, own: bool = False, aud
         probe = order[probed : probed + audit]
         truth = np.concatenate([truth, *[a * n + b for a, b in ((a[a != b], b[a != b]) if own else (a, b) for a, b in scan(probe))]])
         probed += len(probe)
-    width = min(beam, max(LEAST_BEAM, n // 4))
+    width = first = min(beam, max(LEAST_BEAM, n // 4))
     while True:
         pairs, todo, wide = [], np.arange(len(q)), width
         while len(todo):
-            if wide >= n:  # a beam as wide as the shard: every node is met
+            if wide >= n or (wide > first and 8 * wide >= n):  # a widened beam of that size costs more than comparing with all
                 pairs += scan(todo)
                 break
             ids, sims = graph.search(q[todo], wide)
