@@ -110,10 +110,6 @@ def parse(text: str | None) -> dict | None:
     return action(verb, **args)
 
 
-def in_bounds(a: dict, width: int, height: int) -> bool:
-    return all(0 <= x < width and 0 <= y < height for x, y in a["points"])
-
-
 def without_coordinates(text: str) -> str:
     """An action's text for old history: places are left out, unknown syntax is not copied."""
     a = parse(text)

@@ -15,7 +15,7 @@ from millrace.functions.geometry import hamming
 from millrace.functions.hashing import choice, keep, uniform
 from millrace.functions.labels import step_signals
 from millrace.functions.scores import trajectory_priority
-from millrace.operators.common import first_rows, running_total
+from millrace.operators.common import running_total
 
 CHANGED_BITS = 6
 
@@ -225,6 +225,3 @@ def seeded_order(df: DataFrame, unit: str, seed: str) -> DataFrame:
     """Units by their hash under a seed."""
     return df.withColumn("__rank", F.sha2(F.concat(F.lit(seed + ":"), F.col(unit).cast("string")), 256)).orderBy("__rank", unit).drop("__rank")
 
-
-def unique_steps(df: DataFrame, key: list[str], order: str) -> DataFrame:
-    return first_rows(df, key, order)
