@@ -1,4 +1,4 @@
-"""The Hamming join against brute force, with hot groups dealt by blocks; signatures."""
+"""The Hamming join against brute force, with hot groups dealt by blocks; signatures and image hashes."""
 
 import random
 
@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.functions.images import vector_signature
+from millrace.functions.images import phash, phash64, phashes, vector_signature
 from millrace.operators import similarity as S
 
 ALL = (1 << 64) - 1
@@ -56,3 +56,13 @@ def test_a_signature_sorts_its_vector_once(spark):
     rows = [[draw.random() for _ in range(64)] for _ in range(5)] + [[1.0] * 64]
     got = [r[0] & ALL for r in spark.createDataFrame([(e,) for e in rows], "e array<double>").select(vector_signature(F.col("e"))).collect()]
     assert got == [sum((x > sorted(e[1:])[31]) << (63 - k) for k, x in enumerate(e)) for e in rows]
+
+
+def test_images_of_a_batch_are_hashed_as_each_alone(spark):
+    draw = np.random.default_rng(4)
+    images = [draw.integers(0, 256, (side, side), dtype=np.uint8) for side in (32, 8, 32, 16, 8, 32)]
+    raw = [(k, bytearray(x.tobytes())) for k, x in enumerate(images)] + [(6, None), (7, bytearray()), (8, bytearray(b"x" * 63)), (9, bytearray(b"x" * 9))]
+    got = dict(spark.createDataFrame(raw, "k int, raw binary").coalesce(1).select("k", phash64(F.col("raw"))).collect())
+    assert got == {k: phash(x) for k, x in enumerate(images)} | dict.fromkeys(range(6, 10))
+    same = [x for x in images if x.shape == (32, 32)]
+    assert phashes(np.stack(same)).tolist() == [phash(x) for x in same]
