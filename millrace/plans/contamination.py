@@ -31,8 +31,8 @@ best AS (SELECT * FROM hits QUALIFY row_number() OVER (PARTITION BY doc_id, line
 """
 
 
-def _texts(spark: SparkSession, sf: str) -> DataFrame:
-    return S.prepared(S.lines(table(spark, sf, "documents"), keep=("source",)), "line")
+def _lines(spark: SparkSession, sf: str) -> DataFrame:
+    return S.lines(table(spark, sf, "documents"), keep=("source",))
 
 
 def _refs(spark: SparkSession, sf: str) -> DataFrame:
@@ -40,7 +40,7 @@ def _refs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _best(spark: SparkSession, sf: str) -> DataFrame:
-    return S.best_matches(_texts(spark, sf), _refs(spark, sf), KEY)
+    return S.contaminated(_lines(spark, sf), _refs(spark, sf), KEY, "line")
 
 
 @query(BASE + "SELECT doc_id, line_no, kind, ref_id, CAST(round(score, 4) AS DOUBLE) AS score, fragments FROM best")
@@ -56,7 +56,7 @@ PLANTED = BASE.replace("FROM documents),\nlines", "FROM documents UNION ALL SELE
 def contamination_exact(spark: SparkSession, sf: str) -> DataFrame:
     items = table(spark, sf, "benchmark").select((-1 - F.col("item_id")).alias("doc_id"), F.concat(F.translate(F.replace("text", F.lit("\n"), F.lit(" ")), "abcdefghijklm", "ABCDEFGHIJKLM"), F.lit("!")).alias("text"), F.lit("planted").alias("source"))
     docs = table(spark, sf, "documents").select("doc_id", "text", "source").unionByName(items)
-    found = S.best_matches(S.prepared(S.lines(docs, keep=("source",)), "line"), _refs(spark, sf), KEY)
+    found = S.contaminated(S.lines(docs), _refs(spark, sf), KEY, "line")
     return found.where("kind = 'exact'").select("doc_id", "line_no", "ref_id")
 
 
@@ -71,7 +71,7 @@ SELECT l.source, count(*) AS scanned, CAST(count(*) FILTER (kind = 'exact') AS B
   CAST(count(kind) AS BIGINT) AS removed FROM l LEFT JOIN best USING (doc_id, line_no) GROUP BY GROUPING SETS ((l.source), ())
 """)
 def contamination_report(spark: SparkSession, sf: str) -> DataFrame:
-    return S.contamination_report(_texts(spark, sf), _best(spark, sf), KEY, "source")
+    return S.contamination_report(_lines(spark, sf), _best(spark, sf), KEY, "source")
 
 
 @query(BASE + "SELECT CAST(least(9, floor(round(score, 3) * 10)) / 10 AS DOUBLE) AS bin, count(*) AS n FROM best GROUP BY 1")
