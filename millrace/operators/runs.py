@@ -6,11 +6,14 @@ import json
 import os
 import re
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import fixed
 from millrace.functions.text import redact
+from millrace.operators.common import cut
 
 PRODUCTION_ROWS = 10_000
 
@@ -141,31 +144,42 @@ def plan_gate(df: DataFrame, order: str, category: str, draw: str, rate: float)
     """Rows that get a plan, in order, so that their share follows ``rate`` and categories their shares.
 
     ``draw`` is a uniform number. Every row counts as emitted before the next.
-    Each decision depends on all earlier ones: one task reads (order, category,
-    draw) alone. A rate of 0, the default of builds, admits nothing.
+    Each decision depends on all earlier ones, so one task decides, but it reads
+    a byte for a row: the rows are sorted by range in many tasks, numbered, and
+    packed into runs of codes. A rate of 0, the default of builds, admits nothing.
     """
     parts = fixed.PLAN_SHARES
+    names = list(parts)
+    code = F.coalesce(F.array_position(F.array(*map(F.lit, names)), F.col(category)), F.lit(0)) * 2 + F.coalesce((F.col(draw) > 0.5) & ~F.isnan(draw), F.lit(False)).cast("int")
+    sorted_ = cut(df.select(order, category, draw).repartitionByRange(F.col(order)).sortWithinPartitions(order).withColumn("__at", F.monotonically_increasing_id()).withColumn("__code", code.cast("byte")))
+
+    def pack(batches):
+        for rows in batches:
+            if len(rows):
+                yield pd.DataFrame({"at": rows["__at"].iloc[:1], "codes": [rows["__code"].to_numpy(np.uint8).tobytes()]})
 
     def run(batches):
-        seen, given, total, emitted = set(), dict.fromkeys(parts, 0), 0, 0
+        seen, given, total, emitted = set(), dict.fromkeys(names, 0), 0, 0
         for rows in batches:
-            taken = []
-            for c, u in zip(rows[category], rows[draw]):
-                ok = rate > 0 and c in parts
-                if ok:
-                    seen.add(c)
-                    now = total / max(1, emitted)
-                    fair = total == 0 or given[c] <= parts[c] / sum(parts[x] for x in seen) * total + 2.0
-                    ok = fair and not (now > rate or (now > 0.8 * rate and u > 0.5))
-                    given[c] += ok
-                    total += ok
-                emitted += 1
-                taken.append(bool(ok))
-            yield rows[taken]
-
-    rows = df.select(order, category, draw)
-    admitted = rows.coalesce(1).sortWithinPartitions(order).mapInPandas(run, rows.schema)
-    return df.join(admitted.select(order), order, "left_semi")
+            for start, codes in zip(rows["at"], rows["codes"]):
+                taken = []
+                for k, x in enumerate(codes):
+                    if rate > 0 and x > 1:
+                        c = names[(x >> 1) - 1]
+                        seen.add(c)
+                        now = total / max(1, emitted)
+                        fair = total == 0 or given[c] <= parts[c] / sum(parts[s] for s in seen) * total + 2.0
+                        if fair and not (now > rate or (now > 0.8 * rate and x & 1)):
+                            given[c] += 1
+                            total += 1
+                            taken.append(start + k)
+                    emitted += 1
+                yield pd.DataFrame({"__at": np.array(taken, np.int64)})
+
+    # numbers of one partition follow one another, so those of a run do
+    runs = sorted_.select("__at", "__code").mapInPandas(pack, "at long, codes binary")
+    admitted = cut(runs.coalesce(1).sortWithinPartitions("at").mapInPandas(run, "__at long"))
+    return df.join(sorted_.join(admitted, "__at", "left_semi").select(order), order, "left_semi")
 
 
 # --- models and archives ---

@@ -171,3 +171,21 @@ def test_the_stream_is_bounded_in_all(spark, tmp_path):
             assert sorted(got) == sorted((f"f{i}", "complete", 10, 1000) for i in range(0, 40, 2))
         else:
             assert any(r[1] == "evicted" for r in got) and all(r[3] <= 1000 for r in got)
+
+
+def test_plan_gate_decides_in_order_over_packed_runs(spark):
+    draw = random.Random(8)
+    rows = [(i * 3, draw.choice([*fixed.PLAN_SHARES, None, "none"]), draw.random()) for i in range(30_000)]
+    seen, given, total, want = set(), dict.fromkeys(fixed.PLAN_SHARES, 0), 0, []
+    for n, (k, c, u) in enumerate(rows):
+        if c in given:
+            seen.add(c)
+            now, share = total / max(1, n), fixed.PLAN_SHARES[c] / sum(fixed.PLAN_SHARES[x] for x in seen)
+            if (total == 0 or given[c] <= share * total + 2.0) and not (now > 0.12 or (now > 0.8 * 0.12 and u > 0.5)):
+                given[c], total = given[c] + 1, total + 1
+                want.append(k)
+    draw.shuffle(rows)
+    gate = runs.plan_gate(fixed_rows(spark, "k long, c string, u double", *rows).repartition(7), "k", "c", "u", 0.12)
+    assert sorted(r.k for r in gate.collect()) == want
+    plan = gate._jdf.queryExecution().optimizedPlan().toString()
+    assert "Repartition 1" not in plan and "MapInPandas" not in plan  # no task sorts whole rows
