@@ -1,5 +1,6 @@
 """The Hamming join against brute force, with hot groups dealt by blocks; signatures and image hashes."""
 
+import itertools
 import random
 
 import numpy as np
@@ -42,6 +43,19 @@ def test_near_meets_every_pair_once(few):
     assert sorted(got) == [(a, b) for a, b, _ in want]
 
 
+@pytest.mark.parametrize("few", [100, 100_000])
+def test_near_walks_no_long_run_of_a_family(few, monkeypatch):
+    """A family of near copies took as many steps as its longest run has hashes, times the choices of bands."""
+    h = np.unique(np.array([sum(1 << p for p in some) for k in range(4) for some in itertools.combinations(range(0, 64, 4), k)], np.uint64))
+    h = np.unique(np.concatenate([h, np.random.default_rng(2).integers(0, 1 << 63, 300, np.uint64)]))
+    steps, count = [0], np.bitwise_count
+    monkeypatch.setattr(np, "bitwise_count", lambda x: [count(x), steps.__setitem__(0, steps[0] + 1)][0])
+    got = sorted((min(a, b), max(a, b)) for i, j in S._near(h, 6, ALL, few) for a, b in zip(i.tolist(), j.tolist()))
+    a, b = np.nonzero(count(h[:, None] ^ h[None, :]) <= 6)
+    assert got == sorted(zip(a[a < b].tolist(), b[a < b].tolist()))
+    assert steps[0] < 28 * 64
+
+
 @pytest.mark.parametrize("more,most", [(None, S.HOT), (None, 30), (2, 30)])
 def test_hamming_links_are_those_of_brute_force(spark, more, most):
     hashes = planted()
