@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions.images import phash, phash64, phashes, vector_signature
+from millrace.operators import dedup as D
 from millrace.operators import similarity as S
 
 ALL = (1 << 64) - 1
@@ -80,3 +81,29 @@ def test_images_of_a_batch_are_hashed_as_each_alone(spark):
     assert got == {k: phash(x) for k, x in enumerate(images)} | dict.fromkeys(range(6, 10))
     same = [x for x in images if x.shape == (32, 32)]
     assert phashes(np.stack(same)).tolist() == [phash(x) for x in same]
+
+
+def greedy(hashes):
+    led, out = [], {}
+    for i, h in sorted(hashes.items()):
+        out[i] = i if h is None else next((k for k, x in led if (x ^ h).bit_count() <= 6), i)
+        if out[i] == i and h is not None:
+            led.append((i, h))
+    return out
+
+
+@pytest.mark.parametrize("rest", [0, 40, D.REST])
+def test_leaders_are_those_of_a_scan_in_order(spark, rest):
+    hashes = planted() | {1000 + k: (1 << k) - 1 for k in range(0, 64, 5)} | {-5: None, 2000: None, 2001: 0}
+    df = spark.createDataFrame([(i, h if h is None or h < 1 << 63 else h - (1 << 64)) for i, h in hashes.items()], "id long, h long")
+    assert dict(map(tuple, D.leaders(df, "id", "h", 6, rest).collect())) == greedy(hashes)
+
+
+def test_later_rounds_read_only_open_links(spark, monkeypatch):
+    """A chain of 60 decisions took a round of jobs over all links for every second row; the rest is settled at once."""
+    cuts, cut = [0], D.cut
+    monkeypatch.setattr(D, "cut", lambda df: [cut(df), cuts.__setitem__(0, cuts[0] + 1)][0])
+    hashes = {k: sum(1 << p % 64 for p in range(3 * k, 3 * k + 16)) for k in range(60)}
+    df = spark.createDataFrame([(i, h - (1 << 64) if h >> 63 else h) for i, h in hashes.items()], "id long, h long")
+    assert dict(map(tuple, D.leaders(df, "id", "h", 6).collect())) == greedy(hashes)
+    assert cuts[0] <= 5
