@@ -16,6 +16,8 @@ from millrace.functions.text import redact
 from millrace.operators.common import cut
 
 PRODUCTION_ROWS = 10_000
+#: Hashes in one row of a deduplication state.
+STATE_HASHES = 4096
 
 
 # --- configuration ---
@@ -116,10 +118,17 @@ def image_duplicates(files: DataFrame, head: int = 4096) -> DataFrame:
     return sign.groupBy("bytes", "head_md5").agg(F.count("*").alias("copies")).where("copies > 1")
 
 
-def state_json(leaders: DataFrame) -> DataFrame:
-    """(bucket, state): clusters (seq, leader, h) as JSON lists with sorted members, a bucket of leaders a row."""
-    each = leaders.groupBy("leader").agg(F.array_sort(F.collect_set("h")).alias("hashes"))
-    return each.groupBy(F.pmod(F.col("leader"), F.lit(1024)).alias("bucket")).agg(F.to_json(F.array_sort(F.collect_list(F.struct("leader", "hashes")))).alias("state"))
+def state_json(leaders: DataFrame, most: int = STATE_HASHES) -> DataFrame:
+    """(bucket, state): clusters (leader, h) as JSON lists with sorted members, in the order of leaders.
+
+    A row holds at most ``most`` distinct hashes however large the input is; a
+    cluster goes on in the next row where it does not fit. A null hash is a null
+    in its leader's list.
+    """
+    each = leaders.select("leader", "h").distinct().repartitionByRange("leader", "h").sortWithinPartitions("leader", "h")
+    filed = each.withColumn("bucket", F.expr(f"monotonically_increasing_id() div {most}")).repartition("bucket")
+    lists = filed.groupBy("bucket", "leader").agg(F.sort_array(F.collect_list(F.struct("h")))["h"].alias("hashes"))
+    return lists.groupBy("bucket").agg(F.to_json(F.sort_array(F.collect_list(F.struct("leader", "hashes")))).alias("state"))
 
 
 def state_rows(states: DataFrame) -> DataFrame:

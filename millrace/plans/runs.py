@@ -125,8 +125,7 @@ def single_waits(spark: SparkSession, sf: str) -> DataFrame:
 @query(LEADERS + "SELECT DISTINCT l.leader, CAST(h.s AS HUGEINT) % 1000003 AS h FROM lead l JOIN h USING (vec_id)".replace("CAST(h.s AS HUGEINT) % 1000003", "CAST(CAST(h.s AS HUGEINT) % 1000003 AS BIGINT)"))
 def dedup_state(spark: SparkSession, sf: str) -> DataFrame:
     """Clusters written as JSON and read back."""
-    rows = _signatures(spark, sf).select("vec_id", "h")
-    found = dedup.leaders(rows, "vec_id", "h", RADIUS).join(rows.withColumnRenamed("vec_id", "seq"), "seq")
+    found = dedup.clusters(_signatures(spark, sf), "vec_id", "h", RADIUS)
     unsigned = F.when(F.col("h") >= 0, F.col("h").cast("decimal(20,0)")).otherwise(F.col("h").cast("decimal(20,0)") + F.lit("18446744073709551616").cast("decimal(20,0)"))
     return runs.state_rows(runs.state_json(found)).select("leader", (unsigned % 1000003).cast("long").alias("h")).distinct()
 
